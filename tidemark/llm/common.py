@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcast a value of bounded size; the function returned gives it on executors, unpickled once per worker process."""
+    box = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    def fetch():
+        if "value" not in box.value:
+            box.value["value"] = cloudpickle.loads(box.value["pickled"])
+        return box.value["value"]
+
+    return fetch
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

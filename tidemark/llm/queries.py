@@ -6,15 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op9_bpe
 from .exact_dedup import OP7_SQL, op7_exact_dedup
+from .hamming_topk import OP8_SQL, op8_hamming_topk
+from .language_id import op4_language_id
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .mixing import op3_mixing
+from .secrets import op1_secrets
 from .sharding import op5_sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_line_dedup": op2_line_dedup, "op3_mixing": op3_mixing, "op5_sharding": op5_sharding, "op7_exact_dedup": op7_exact_dedup}
+    return {
+        "op1_secrets": op1_secrets,
+        "op2_line_dedup": op2_line_dedup,
+        "op3_mixing": op3_mixing,
+        "op4_language_id": op4_language_id,
+        "op5_sharding": op5_sharding,
+        "op7_exact_dedup": op7_exact_dedup,
+        "op8_hamming_topk": op8_hamming_topk,
+        "op9_bpe": op9_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_hamming_topk": OP8_SQL}
