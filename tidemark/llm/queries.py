@@ -12,6 +12,7 @@ from .hamming_topk import OP8_SQL, op8_hamming_topk
 from .language_id import op4_language_id
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .mixing import op3_mixing
+from .ngram_join import op6_ngram_join
 from .secrets import op1_secrets
 from .sharding import op5_sharding
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_language_id": op4_language_id,
         "op5_sharding": op5_sharding,
+        "op6_ngram_join": op6_ngram_join,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_hamming_topk": op8_hamming_topk,
         "op9_bpe": op9_bpe,
