@@ -15,6 +15,7 @@ from .mixing import op3_mixing
 from .ngram_join import op6_ngram_join
 from .secrets import op1_secrets
 from .sharding import op5_sharding
+from .suffix_dedup import op10_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_exact_dedup": op7_exact_dedup,
         "op8_hamming_topk": op8_hamming_topk,
         "op9_bpe": op9_bpe,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
