@@ -3,8 +3,7 @@
 Tier one: a minimal perfect hash over the vocabulary resolves a pre-token that
 is itself a vocabulary entry with one probe and one comparison.  Tier two: a
 miss is merged from single bytes with a heap of candidate pairs over a doubly
-linked list, lowest rank first, leftmost first among equals.  The same perfect
-hash answers the rank of a candidate pair.
+linked list, lowest rank first, leftmost first among equals.
 
 The vocabulary is a parameter (a ``.tiktoken`` rank file); it is read by the
 driver and broadcast: its size is that of the vocabulary, whatever the input.
@@ -14,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,7 +78,7 @@ class PerfectHash:
 
 class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        keys = list(ranks)
+        keys, self.ranks = list(ranks), ranks
         self.hash = PerfectHash(keys)
         self.hash.shift = self.hash.shift.tolist()
         self.keys = [keys[i] for i in self.hash.order]
@@ -108,27 +108,27 @@ class Tokenizer:
         return [whole] if whole is not None else self.merge(piece)
 
     def merge(self, piece: bytes) -> list[int]:
-        n = len(piece)
+        n, rank, push, pop = len(piece), self.ranks.get, heapq.heappush, heapq.heappop
         end = list(range(1, n + 1))  # of the part that starts here; 0: merged into an earlier one
         prev, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := self.rank(piece[i : i + 2])) is not None]
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, to = heapq.heappop(heap)
+            _, i, to = pop(heap)
             j = after[i]
             if not end[i] or j >= n or end[j] != to:
                 continue  # one of the two parts has changed since
             end[i], end[j] = to, 0
-            after[i] = after[j]
-            if after[i] < n:
-                prev[after[i]] = i
-                if (r := self.rank(piece[i : end[after[i]]])) is not None:
-                    heapq.heappush(heap, (r, i, end[after[i]]))
-            if (p := prev[i]) >= 0 and (r := self.rank(piece[p:to])) is not None:
-                heapq.heappush(heap, (r, p, to))
+            after[i] = k = after[j]
+            if k < n:
+                prev[k] = i
+                if (r := rank(piece[i : end[k]])) is not None:
+                    push(heap, (r, i, end[k]))
+            if (p := prev[i]) >= 0 and (r := rank(piece[p:to])) is not None:
+                push(heap, (r, p, to))
         ids, i = [], 0
         while i < n:
-            ids.append(self.rank(piece[i : end[i]]))
+            ids.append(rank(piece[i : end[i]]))
             i = after[i]
         return ids
 
@@ -147,7 +147,8 @@ class _Memo(dict):
     def __missing__(self, token: str) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        self[token] = out = np.array(self.owner.piece(token.encode()), "<u4").tobytes()
+        ids = self.owner.piece(token.encode())
+        self[token] = out = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
 
