@@ -1,0 +1,37 @@
+"""Range-tombstone pairing when the two bounds of a range arrive in different micro-batches."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+OUT = "keyspace string, table string, partition string, seq long, deleted_at long, start string, end string"
+
+
+def pair_across_batches(markers: DataFrame) -> DataFrame:
+    """Ranges from a stream of markers ``(keyspace, table, partition, seq, deleted_at, open, close)``.
+
+    ``open`` and ``close`` are bounds as JSON text; a boundary marker has both.
+    State is kept per partition key: the opening bound that waits for its end.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("seq")
+        opened = state.get[0] if state.exists else None
+        out = []
+        for r in rows.itertuples():
+            if r.close is not None and opened is not None:
+                out.append((*key, r.seq, r.deleted_at, opened, r.close))
+                opened = None
+            if r.open is not None:
+                opened = r.open
+        if opened is None:
+            state.remove()
+        else:
+            state.update((opened,))
+        yield pd.DataFrame(out, columns=["keyspace", "table", "partition", "seq", "deleted_at", "start", "end"])
+
+    return markers.groupBy("keyspace", "table", "partition").applyInPandasWithState(step, OUT, "opened string", "append", GroupStateTimeout.NoTimeout)
