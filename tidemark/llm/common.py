@@ -42,6 +42,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of about ``size`` bytes instead of the default 64 MB, unless the session has set its own bound.
+
+    A worker and the JVM each hold a few batches at once; with long texts these are what fills their memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64m", "67108864"):
+        spark.conf.set(key, size)
+
+
 def share(spark: SparkSession, value) -> Callable:
     """Broadcast a value of bounded size; the function returned gives it on executors, unpickled once per worker process."""
     box = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})

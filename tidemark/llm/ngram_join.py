@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import _batches
-from .common import components, materialize, release, table
+from .common import bound_batches, components, materialize, release, table
 
-#: Sketch distances: of a leader's own members, and the noise allowed on top of the threshold's distance (four sigma of 112 values).
-NEAR, NOISE = 0.10, 0.15
+#: Sketch distances: of a leader's own members, and the noise allowed on top of the threshold's distance (three sigma of 112 values).
+NEAR, NOISE = 0.25, 0.12
 MEMO = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,17 +107,21 @@ def _sketches(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def canopy(sketch: np.ndarray, pilots: np.ndarray, reach: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links (leader, member) within ``reach``, leaders from the pilots first; with pilots, only they lead and the rest is returned."""
-    links, todo = [], np.ones(len(sketch), bool)
+    """A forest over what leaders link within ``reach``; with pilots, only they lead and the members far from all are returned.
+
+    A member joins the forest by one edge at most, however many leaders it resembles."""
+    edges, todo, label = [], np.ones(len(sketch), bool), np.arange(len(sketch))
     piloted = pilots.any()
-    order = np.nonzero(pilots)[0] if piloted else np.arange(len(sketch))
-    for i in order.tolist():
+    for i in (np.nonzero(pilots)[0] if piloted else np.arange(len(sketch))).tolist():
         if not todo[i] and not piloted:
             continue
         d = (sketch != sketch[i]).mean(axis=1)
-        links += [(i, j) for j in np.nonzero(d <= reach)[0].tolist() if j != i]
+        near = np.nonzero((d <= reach) & (label != label[i]))[0]
+        labels, first = np.unique(label[near], return_index=True)
+        edges += [(i, int(near[j])) for j in first]
+        label[np.isin(label, labels)] = label[i]
         todo &= d > NEAR
-    return links, todo
+    return edges, todo
 
 
 def _verify(sets: list[np.ndarray], left: np.ndarray, threshold: float) -> np.ndarray:
@@ -173,6 +177,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     their own; a null id is never the smallest; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     depth = forest_depth(threshold, trees, max_depth, recall)
     rng = np.random.default_rng(20_240_517)
     a = rng.integers(0, 1 << 63, trees * max_depth, np.uint64) * np.uint64(2) + np.uint64(1)
