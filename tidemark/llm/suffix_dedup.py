@@ -10,11 +10,12 @@ suffix array is sparse, without losing a match:
    anchors have equal contexts, all those windows repeat, and no bytes move.
 3. What is left are the borders of repeats.  One holder of each different context
    sends its bytes; sampled splitters range-partition these suffixes by their
-   leading tokens (the anchor gram), and each bucket compares them locally: few
-   with the same start pairwise, many by multikey quicksort on 8-byte words for
-   every window offset.  Suffixes of equal start are in one range, so no match
-   crosses a bucket's boundary; a start with more than ``cap`` different
-   contexts leaves the buckets and is grouped by window across the cluster.
+   leading tokens (the anchor gram), and each bucket sorts them by multikey
+   quicksort on 8-byte words and compares neighbours (few suffixes of the same
+   start are compared pairwise at once).  Suffixes of equal start are in one
+   range, so no match crosses a bucket's boundary; a start with more than
+   ``cap`` different contexts leaves the buckets and is grouped by window
+   across the cluster.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, release, table, width
+from .common import bound_batches, materialize, release, table, width
 from .ngram_join import _groups
 
 GRAM = 32
@@ -89,53 +90,104 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
         yield first, first + len(held), held
 
 
-def multikey_groups(words: np.ndarray) -> np.ndarray:
-    """Multikey quicksort of rows of big-endian words: a flag for each row that equals another.
+def multikey_order(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort of rows of words inside groups: the sorted order, and a flag for each row that equals another.
 
-    All partitions of one depth are split at once; a partition of one row is done."""
-    equal = np.zeros(len(words), bool)
-    rows, part = np.arange(len(words)), np.zeros(len(words), np.int64)
+    All partitions of one depth are split at once by the next word; a partition of one row is done."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    order = np.argsort(group, kind="stable")
+    part = np.cumsum(np.concatenate([[0], np.diff(group[order]) != 0]))
+    at, equal = np.arange(len(order)), np.zeros(len(order), bool)
+    many = np.bincount(part)[part] > 1
+    at, part = at[many], part[many]
     for d in range(words.shape[1]):
-        if not len(rows):
-            return equal
+        if not len(at):
+            break
+        rows = order[at]
         value = words[rows, d]
-        order = np.lexsort((value, part))
-        rows, part, value = rows[order], part[order], value[order]
-        new = np.ones(len(rows), bool)
+        k = np.lexsort((value, part))
+        rows, value, part = rows[k], value[k], part[k]
+        order[at] = rows
+        new = np.ones(len(at), bool)
         new[1:] = (part[1:] != part[:-1]) | (value[1:] != value[:-1])
         part = np.cumsum(new) - 1
         many = np.bincount(part)[part] > 1
-        rows, part = rows[many], part[many]
-    equal[rows] = True
-    return equal
+        at, part = at[many], part[many]
+    equal[order[at]] = True
+    return order, equal
+
+
+def _words(b: np.ndarray) -> np.ndarray:
+    """Rows of bytes as rows of big-endian words, padded with zeros."""
+    b = np.concatenate([b, np.zeros((len(b), -b.shape[1] % 8), np.uint8)], axis=1)
+    return b.view(">u8").astype(np.uint64)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of rows."""
+    same = a == b
+    return np.where(same.all(axis=1), a.shape[1], same.argmin(axis=1)).astype(np.int16)
+
+
+def _reach(lcp: np.ndarray) -> np.ndarray:
+    """Common prefixes of all pairs of a sorted group from those of neighbours: minima over ranges."""
+    g = len(lcp) + 1
+    out = np.zeros((g, g), np.int16)
+    for i in range(g - 1):
+        out[i, i + 1 :] = out[i + 1 :, i] = np.minimum.accumulate(lcp[i:])
+    return out
+
+
+def _mark(diff: np.ndarray, a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray, right: np.ndarray, left: np.ndarray, length: int) -> None:
+    """Add the windows that rows a and b share, given how far they agree on both sides of the anchor (as differences along the offsets)."""
+    first = np.maximum(np.maximum(length - right.astype(np.int64), lo[a]), lo[b])
+    last = np.minimum(np.minimum(left.astype(np.int64), hi[a]), hi[b])
+    ok = first <= last
+    wide, flat = diff.shape[1], diff.ravel()
+    rows = np.concatenate([a[ok], b[ok]]) * wide
+    np.add.at(flat, rows + np.tile(first[ok], 2), 1)
+    np.add.at(flat, rows + np.tile(last[ok] + 1, 2), -1)
 
 
 def _pairwise(m: np.ndarray, lo: np.ndarray, hi: np.ndarray, i: np.ndarray, j: np.ndarray, length: int, out: np.ndarray) -> None:
-    """Mark in ``out`` (rows by offsets, as differences) the windows that rows i and j share."""
     back = length - GRAM
     for at in range(0, len(i), 20_000):
         a, b = i[at : at + 20_000], j[at : at + 20_000]
-        same = m[a] == m[b]
-        left = same[:, :back][:, ::-1]
-        l = np.where(left.all(axis=1), back, left.argmin(axis=1))
-        right = same[:, back:]
-        r = np.where(right.all(axis=1), length, right.argmin(axis=1))
-        first = np.maximum(np.maximum(length - r, lo[a]), lo[b])
-        last = np.minimum(np.minimum(l, hi[a]), hi[b])
-        ok = first <= last
-        for rows in (a, b):
-            np.add.at(out, (rows[ok], first[ok]), 1)
-            np.add.at(out, (rows[ok], last[ok] + 1), -1)
-
-
-def repeated_windows(m: np.ndarray, lo: np.ndarray, hi: np.ndarray, group: np.ndarray, length: int, few: int = 24) -> np.ndarray:
+        _mark(out, a, b, lo, hi, _common(m[a, back:], m[b, back:]), _common(m[a, :back][:, ::-1], m[b, :back][:, ::-1]), length)
+
+
+def repeated_windows(m: np.ndarray, lo: np.ndarray, hi: np.ndarray, group: np.ndarray, length: int, few: int = 12, large: int = 1500) -> np.ndarray:
     """Rows by offsets: whether the window that starts ``offset`` bytes before the anchor occurs in another row of the group.
 
-    ``m`` holds contexts aligned at the anchor, ``lo`` and ``hi`` each row's offsets that lie inside its document."""
+    ``m`` holds contexts aligned at the anchor, ``lo`` and ``hi`` each row's offsets that lie inside its document.
+    Groups of up to ``few`` rows are compared pairwise.  Up to ``large``, the suffixes at the anchor and the reversed
+    prefixes before it are sorted; neighbours in either order give what any two rows share on either side.  Beyond
+    that, the windows of each offset are sorted by themselves."""
     back = length - GRAM
     diff = np.zeros((len(m), back + 2), np.int32)
     cuts = np.concatenate([[0], np.nonzero(np.diff(group))[0] + 1, [len(group)]])
+    sizes = np.diff(cuts)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    middle = np.repeat((sizes > few) & (sizes <= large), sizes)
+    if middle.any():
+        at = np.nonzero(middle)[0]
+        right, left = m[at, back:], m[at, :back][:, ::-1]
+        r_order, _ = multikey_order(_words(right), group[at])
+        l_order, _ = multikey_order(_words(np.ascontiguousarray(left)), group[at])
+        r_next, l_next = _common(right[r_order[:-1]], right[r_order[1:]]), _common(left[l_order[:-1]], left[l_order[1:]])
+        start = 0
+        for g in sizes[(sizes > few) & (sizes <= large)].tolist():
+            ro, lo_ = r_order[start : start + g], l_order[start : start + g]
+            r = _reach(r_next[start : start + g - 1])
+            place = np.empty(g, np.int64)
+            place[lo_ - start] = np.arange(g)
+            place = place[ro - start]
+            l = _reach(l_next[start : start + g - 1])[np.ix_(place, place)]
+            i, j = np.nonzero(np.triu(r + l >= length, 1))
+            a, b = at[ro[i]], at[ro[j]]
+            _mark(diff, a, b, lo, hi, r[i, j], l[i, j], length)
+            start += g
     for s, e in zip(cuts, cuts[1:], strict=False):
         g = int(e - s)
         if g == 2:
@@ -143,15 +195,13 @@ def repeated_windows(m: np.ndarray, lo: np.ndarray, hi: np.ndarray, group: np.nd
         elif g <= few:
             i, j = np.triu_indices(g, 1)
             pairs.append((i + s, j + s))
-        else:
+        elif g > large:
             for o in range(back + 1):
                 rows = s + np.nonzero((lo[s:e] <= o) & (o <= hi[s:e]))[0]
                 if len(rows) > 1:
-                    words = np.ascontiguousarray(m[rows, back - o : back - o + length])
-                    words = np.concatenate([words, np.zeros((len(rows), -length % 8), np.uint8)], axis=1).view(">u8").astype(np.uint64)
-                    hit = rows[multikey_groups(words)]
-                    diff[hit, o] += 1
-                    diff[hit, o + 1] -= 1
+                    _, equal = multikey_order(_words(np.ascontiguousarray(m[rows, back - o : back - o + length])), np.zeros(len(rows), np.int64))
+                    diff[rows[equal], o] += 1
+                    diff[rows[equal], o + 1] -= 1
     if pairs:
         i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
         _pairwise(m, lo, hi, i, j, length, diff)
@@ -172,6 +222,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> DataFrame:
     """``doc_id, row, s, e``: byte spans, maybe overlapping, that cover exactly what repeats; from ``(doc_id, row, text)``."""
     spark, back = docs.sparkSession, length - GRAM
+    bound_batches(spark)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
