@@ -290,7 +290,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             if len(sets) < 2:
                 continue
             left = np.array(side)
-            if i != j and left.all():
+            if i != j and left.all() == left.any():  # one side only
                 continue
             linked, names = _verify(sets, left, threshold), list(names)
             links = linked.sum(axis=1)
