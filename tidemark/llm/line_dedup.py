@@ -12,7 +12,6 @@ Everything here is DataFrame functions; no Python runs on the executors.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,28 +38,29 @@ class LineRuns:
         rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
         return name
 
-    def _read(self, names: list[str]) -> DataFrame:
-        return reduce(DataFrame.union, [self.spark.table(x) for x in names])
-
     def _merged(self, names: list[str]) -> DataFrame:
-        return self._read(names).groupBy("h").agg(F.sum("docs").alias("docs"), F.max("holder").alias("holder"))
+        """Runs merged by hash; two runs are joined bucket by bucket, in order, without a shuffle."""
+        out = self.spark.table(names[0])
+        for name in names[1:]:
+            other = self.spark.table(name).select("h", F.col("docs").alias("more"), F.col("holder").alias("other"))
+            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+            out = out.join(other, "h", "full_outer").select("h", docs.alias("docs"), F.greatest("holder", "other").alias("holder"))
+        return out
 
     def runs(self) -> list[str]:
         return [x for level in self.levels for x in level]
 
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of ``(h, doc_id)``, one row per occurrence, ids not above those added before."""
+        """Add a batch of ``(h, doc_id)``, one row per occurrence, ids not above those added before.
+
+        One merge join with each run, none of which moves a run, tells what is new (met in no run) from what only counts on."""
         pairs = lines.groupBy("h", "doc_id").agg(F.lit(1).alias("one"))
         own = pairs.groupBy("h").agg(F.count("*").alias("docs"), F.max("doc_id").alias("holder"))
-        if self.runs():
-            own = materialize(own, "line-batch")
-            for_new, for_old = own, own
-            for name in self.runs():  # a chain of merge joins, one for each run; none moves the run
-                for_new = for_new.join(self.spark.table(name).select("h"), "h", "left_anti")
-            seen = self._read(self.runs()).select("h")
-            for_old = own.join(seen, "h", "left_semi").withColumn("holder", F.lit(None).cast("long"))
-            own = for_new.union(for_old)
-        self._push(0, self._write(own))
+        new = F.lit(True)
+        for i, name in enumerate(self.runs()):
+            own = own.join(self.spark.table(name).select("h", F.lit(True).alias(f"met{i}")), "h", "left")
+            new = new & F.col(f"met{i}").isNull()
+        self._push(0, self._write(own.select("h", "docs", F.when(new, F.col("holder")).alias("holder"))))
 
     def _push(self, level: int, name: str) -> None:
         if level == len(self.levels):
