@@ -4,14 +4,15 @@ Base spans come from three patterns.  The battery adds spans: every run of 16 or
 more token characters gets an inferred encoding (hex, base32, base62, base64,
 base64url), and three statistics that are standard normal for a uniformly random
 string over that alphabet: chi-squared uniformity, the runs test over character
-classes (or halves of the alphabet) and lag-1 serial correlation.  Their norm S
-is small for random strings and grows with length for structured ones.
+classes and lag-1 serial correlation.  They are small for random strings and
+grow with length for structured ones.
 
 The null hypothesis is "structured".  For each form of structured token (joined
 words, CamelCase, snake_case, paths, word with number, repeated blocks) and each
-length, the mean and spread of S are measured on tokens put together from a
-bounded sample of the corpus's own words; a candidate's p-value is the largest
-over the forms.  Short tokens can't reject the null, as structured ones of that
+length, the mean and spread of each statistic are measured on tokens put together
+from a bounded sample of the corpus's own words.  A form's p-value combines its
+three tests by Fisher's method, and a candidate's is the largest over the forms
+of its encoding.  Short tokens can't reject the null, as structured ones of that
 length look alike.  Benjamini-Hochberg then sets one threshold per length band,
 over all candidates of the corpus, from a histogram of fixed size.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import _batches
-from .common import materialize, share, table
+from .common import bound_batches, materialize, share, table
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -65,7 +66,7 @@ def encoding(token: str) -> tuple[str, int]:
         return "base64", 64
     if "-" in s or "_" in s:
         return "base64url", 64
-    if s <= set("abcdefghijklmnopqrstuvwxyz0123456789"):
+    if s <= set("abcdefghijklmnopqrstuvwxyz0123456789") or s <= set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
         return "base36", 36
     return "base62", 62
 
@@ -74,12 +75,13 @@ _SIZES = {"hex": {_LOWER: 6, _UPPER: 6, _DIGIT: 10}, "base32": {_UPPER: 26, _DIG
 _SIZES_64 = {_LOWER: 26, _UPPER: 26, _DIGIT: 10, _OTHER: 2}
 
 
-def battery(token: str, name: str, k: int) -> float:
-    """S: the norm of the three statistics."""
-    x = np.frombuffer(token.rstrip("=").replace("-", "").encode() if name == "hex" else token.rstrip("=").encode(), np.uint8)
+def battery(token: str, name: str, k: int) -> tuple[float, float, float]:
+    """Chi-squared excess, runs and serial correlation, each near 0 for a random string and larger the more structure."""
+    body = token.rstrip("=").lower() if name == "base36" else token.rstrip("=")
+    x = np.frombuffer((body.replace("-", "") if name == "hex" else body).encode(), np.uint8)
     n = len(x)
     if n < 8:
-        return math.inf
+        return math.inf, math.inf, math.inf
     c = np.bincount(x, minlength=128).astype(float)
     chi = k / n * float((c * c).sum()) - n
     z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * max(1 - 1 / n, 0.1))
@@ -93,7 +95,7 @@ def battery(token: str, name: str, k: int) -> float:
     r = _RANK[x]
     sd = r.std()
     z_serial = math.sqrt(n) * (float(np.mean((r[1:] - r.mean()) * (r[:-1] - r.mean()))) / sd**2 if sd > 0 else 1.0) + 1 / math.sqrt(n)
-    return math.sqrt(max(z_chi, 0) ** 2 + z_runs**2 + z_serial**2)
+    return z_chi, abs(z_runs), abs(z_serial)
 
 
 def _forms(words: list[str], rng: np.random.Generator, n: int) -> dict[str, str]:
@@ -114,6 +116,7 @@ def _forms(words: list[str], rng: np.random.Generator, n: int) -> dict[str, str]
         "kebab": joined(lambda: pick() if rng.random() < 0.8 else number(), "-"),
         "path": joined(lambda: pick().capitalize() if rng.random() < 0.3 else pick(), "/"),
         "numbered": joined(lambda: pick() + number(), ""),
+        "camel_numbered": joined(lambda: pick().capitalize() + (number() if rng.random() < 0.2 else ""), ""),
         "upper": joined(lambda: pick().upper() + (number() if rng.random() < 0.3 else ""), ""),
         "blocks": (block * n)[:n],
     }
@@ -125,23 +128,30 @@ class Null:
     def __init__(self, texts: list[str], draws: int = 250, seed: int = 7):
         words = sorted({w.lower() for t in texts for w in re.findall(r"[A-Za-z]{2,12}", t)}) or ["the", "value"]
         rng = np.random.default_rng(seed)
-        seen: dict[str, list[list[float]]] = {}
+        seen: dict[str, dict[str, list[list[tuple[float, ...]]]]] = {}
         for i, n in enumerate(LEN_GRID):
             for _ in range(draws):
                 for form, token in _forms(words, rng, n).items():
                     name, k = encoding(token)
                     if name:
-                        seen.setdefault(form, [[] for _ in LEN_GRID])[i].append(battery(token, name, k))
-        self.fits = []
-        for per in seen.values():
-            ok = [(math.log(n), np.mean(v), max(np.std(v), 0.25)) for n, v in zip(LEN_GRID, per, strict=True) if len(v) >= 20]
-            if ok:
-                self.fits.append(tuple(np.array(c) for c in zip(*ok, strict=True)))
-
-    def p_value(self, s: float, n: int) -> float:
-        at = math.log(n)
-        z = max((s - np.interp(at, x, m)) / np.interp(at, x, d) for x, m, d in self.fits)
-        return max(1e-20, 0.5 * math.erfc(-z / math.sqrt(2)))
+                        seen.setdefault(name, {}).setdefault(form, [[] for _ in LEN_GRID])[i].append(battery(token, name, k))
+        self.fits: dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for name, forms in seen.items():
+            for per in forms.values():
+                ok = [(math.log(n), np.mean(v, axis=0), np.maximum(np.std(v, axis=0), 0.25)) for n, v in zip(LEN_GRID, per, strict=True) if len(v) >= 20]
+                if ok:
+                    self.fits.setdefault(name, []).append(tuple(np.array(c) for c in zip(*ok, strict=True)))
+
+    def p_value(self, u: tuple[float, ...], name: str, n: int) -> float:
+        """Against the forms that give tokens of this encoding; against all where none does."""
+        at, worst = math.log(n), 1e-20
+        for x, m, d in self.fits.get(name) or [x for f in self.fits.values() for x in f]:
+            y = 0.0  # Fisher: minus the sum of the logarithms
+            for t in range(3):
+                z = (u[t] - np.interp(at, x, m[:, t])) / np.interp(at, x, d[:, t])
+                y -= math.log(max(1e-12, 0.5 * math.erfc(-z / math.sqrt(2))))
+            worst = max(worst, math.exp(-y) * (1 + y + y * y / 2))
+        return worst
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -163,7 +173,7 @@ def run_spans(text: str, base: list[tuple[int, int, str]], null: Null) -> list[t
             continue  # a word of one case: no encoding of keys
         name, k = encoding(token)
         if name and not _mask(base, m.start(), m.end()):
-            p = null.p_value(battery(token, name, k), n)
+            p = null.p_value(battery(token, name, k), name, n)
             out.append((name, m.start(), m.end(), sum(n >= b for b in BANDS), min(BINS, int(-math.log10(p) * BINS_PER_DECADE))))
     return out
 
@@ -190,6 +200,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     input row, repeated rows too; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     part = min(1.0, sample_docs / max(1, rows.count()))
     some = rows.filter(F.pmod(F.xxhash64(id_col, F.lit("secrets")), F.lit(1 << 30)) <= int(part * (1 << 30)))
