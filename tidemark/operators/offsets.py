@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import position as P
+from ..spec import local_frame
 
 OFFSETS = "name string, kind string, file string, pos int"
 LOG, SNAPSHOT = "commitlog", "snapshot"
@@ -16,7 +17,7 @@ LOG, SNAPSHOT = "commitlog", "snapshot"
 
 def offsets_frame(spark: SparkSession, rows: list[tuple[str, str, str, int]]) -> DataFrame:
     """``name`` is ``keyspace.table``; one row per table and kind."""
-    return spark.createDataFrame(rows, OFFSETS)
+    return local_frame(spark, rows, OFFSETS)
 
 
 def unprocessed(updates: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def unprocessed(updates: DataFrame, offsets: DataFrame) -> DataFrame:
     name = F.concat_ws(".", "keyspace", "table")
     here = P.position(P.segment_id(F.col("file")), F.col("pos"))
     again = F.col("reprocess") if "reprocess" in updates.columns else F.lit(False)
-    joined = updates.join(marks, name == F.col("__name"), "left")  # one row per table: Spark broadcasts it by its size
+    joined = updates.join(marks, name == F.col("__name"), "left")  # one row per table, of a size that Spark knows
     return joined.filter(F.col("__mark").isNull() | (here > F.col("__mark")) | again).drop("__name", "__mark")
 
 
@@ -91,7 +92,7 @@ class OffsetStore:
 
     def load(self) -> DataFrame:
         found = self.versions()
-        return self.spark.read.schema(OFFSETS).parquet(f"{self.path}/{found[-1]}") if found else self.spark.createDataFrame([], OFFSETS)
+        return self.spark.read.schema(OFFSETS).parquet(f"{self.path}/{found[-1]}") if found else local_frame(self.spark, [], OFFSETS)
 
     def commit(self, new: DataFrame) -> None:
         found = self.versions()

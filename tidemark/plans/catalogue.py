@@ -22,6 +22,7 @@ from ..operators import metrics as M
 from ..operators import offsets as O
 from ..sources import mutation_log as L
 from ..sources import snapshot as S
+from ..spec import local_frame
 from . import driver_log as D
 
 EXEC_MS = 1_700_000_000_000
@@ -122,9 +123,9 @@ _TABLES = [("shop.orders", True, False), ("shop.customer", True, False), ("shop.
 
 @query("SELECT name FROM (VALUES ('app.user_events'), ('shop.customer'), ('shop.lineitem'), ('shop.orders')) t(name) WHERE name NOT IN ('shop.orders', 'shop.customer')")
 def snapshot_pending_tables(spark, d):
-    tables = spark.createDataFrame([(s.name,) for s in D.registry().tables()], "name string")
+    tables = local_frame(spark, [(s.name,) for s in D.registry().tables()], "name string")
     offsets = O.offsets_frame(spark, [("shop.orders", O.SNAPSHOT, "", -1), MARK])
-    return O.pending_snapshots(tables, offsets, spark.createDataFrame([("shop.customer",)], "name string"))
+    return O.pending_snapshots(tables, offsets, local_frame(spark, [("shop.customer",)], "name string"))
 
 
 @query("SELECT name FROM (VALUES " + ", ".join(f"('{n}', {c}, {v})" for n, c, v in _TABLES) + ") t(name, cdc, virtual) WHERE cdc AND NOT virtual")
@@ -454,7 +455,7 @@ def metrics_mutations(spark, d):
 
 @query("SELECT 4 AS total, 2 AS remaining, CAST(12 AS BIGINT) AS seconds")
 def metrics_tables(spark, d):
-    tables = spark.createDataFrame([(s.name,) for s in D.registry().tables()], "name string")
+    tables = local_frame(spark, [(s.name,) for s in D.registry().tables()], "name string")
     out = M.remaining_tables(tables, snapshot_pending_tables(spark, d))
     return out.select(F.col("total").cast("int").alias("total"), F.col("remaining").cast("int").alias("remaining"), M.snapshot_seconds(F.lit(1_000), F.lit(13_999)).alias("seconds"))
 

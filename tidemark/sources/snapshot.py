@@ -12,7 +12,7 @@ from ..functions import position as P
 from ..functions.types import TypeSystem
 from ..operators import events as E
 from ..operators import offsets as O
-from ..spec import REGULAR, ColumnSpec, SchemaRegistry, TableSpec
+from ..spec import REGULAR, ColumnSpec, SchemaRegistry, TableSpec, local_frame
 
 ALWAYS, INITIAL, NEVER = "ALWAYS", "INITIAL", "NEVER"
 
@@ -73,7 +73,7 @@ class SnapshotRunner:
 
     def pending(self) -> list[TableSpec]:
         specs = self.registry.tables()
-        tables = self.spark.createDataFrame([(s.name,) for s in specs], "name string")
+        tables = local_frame(self.spark, [(s.name,) for s in specs], "name string")
         names = {r["name"] for r in O.pending_snapshots(tables, self.store.load()).collect()}  # as many as tables
         return [s for s in specs if s.name in names]
 

@@ -65,6 +65,24 @@ class TableSpec:
         return T.StructType([*cells, T.StructField("_range_start", RANGE_BOUND), T.StructField("_range_end", RANGE_BOUND)])
 
 
+def local_frame(spark, rows: Iterable[tuple], schema: str):
+    """A few driver-side rows as a relation of known size: Spark broadcasts it by that size, or joins it otherwise if it is large."""
+    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
+
+    def literal(v: object) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(v).upper() if isinstance(v, bool) else str(int(v))  # type: ignore[call-overload]
+
+    listed = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+    if not listed:
+        return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in fields) + " WHERE false")
+    named = ", ".join(f"`{n}`" for n, _ in fields)
+    return spark.sql("SELECT " + ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in fields) + f" FROM VALUES {listed} AS v({named})")
+
+
 def cell_type(value: T.DataType) -> T.StructType:
     """A cell: null struct = unset; set with null value = deleted or set to null."""
     return T.StructType([T.StructField("value", value), T.StructField("deletion_ts", T.LongType()), T.StructField("set", T.BooleanType())])
@@ -101,7 +119,7 @@ class SchemaRegistry:
     def frame(self, spark):
         """The registry as a DataFrame ``(keyspace, table, has_clustering)``; as many rows as tables."""
         rows = [(s.keyspace, s.table, bool(s.role(CLUSTERING))) for s in self.tables()]
-        return spark.createDataFrame(rows, "keyspace string, table string, has_clustering boolean")
+        return local_frame(spark, rows, "keyspace string, table string, has_clustering boolean")
 
 
 def struct_field_type(schema: T.StructType, name: str) -> T.StructType:
