@@ -2,7 +2,7 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor kept.
 All but the last return the columns of ``documents``.  Ids are taken to be
-unique on entry; after mixing, a document that the mix takes twice is there twice.
+unique and not null on entry; after mixing, a document that the mix takes twice is there twice.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; those without letters (``und``) go."""
     tables = train(docs.filter(~held_out()))
-    return identify(docs, tables, passing=("text", "lang", "source", "n_chars")).filter("lang_pred <> 'und'").select(*COLUMNS)
+    rejected = materialize(identify(docs, tables).filter("lang_pred = 'und'").select("doc_id"), "pipeline-rejected")
+    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

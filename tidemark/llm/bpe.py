@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import share, table
+from .common import bound_batches, share, table
 
 _MASK = (1 << 64) - 1
 #: Pre-tokens remembered between batches by one worker; the memo starts anew beyond it.
 MEMO = 500_000
 #: Text handled at once inside an Arrow batch, in code points.
-STEP = 4_000_000
+STEP = 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -172,6 +172,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     memo of pre-tokens.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = share(spark, Tokenizer(read_ranks(ranks_path), pattern))
     out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 

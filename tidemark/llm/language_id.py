@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import _batches
-from .common import share, table
+from .common import bound_batches, share, table
 
 #: Symbols of a text that are parsed as one block; blocks are parsed side by side.
 BLOCK = 1024
@@ -168,8 +168,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     return tables
 
 
-def identify(docs: DataFrame, tables: list[LanguageTable], id_col: str = "doc_id", text_col: str = "text", passing: tuple[str, ...] = ()) -> DataFrame:
-    """``<id_col>, lang_pred, score, bits`` and the ``passing`` columns of ``docs``, one row per input row.
+def identify(docs: DataFrame, tables: list[LanguageTable], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``<id_col>, lang_pred, score, bits``, one row per input row.
 
     ``lang_pred`` is ``und`` with score 0 and null bits if the text is null or
     has no letters, or nothing was learned.  ``score`` is 1 - best / second
@@ -177,9 +177,10 @@ def identify(docs: DataFrame, tables: list[LanguageTable], id_col: str = "doc_id
     Ties go to the label that sorts first.  An empty table gives no rows.
     """
     tables = sorted(tables, key=lambda t: t.lang)
+    bound_batches(docs.sparkSession)
     shared = share(docs.sparkSession, tables)
     text = F.col(text_col).alias("__text")
-    head = docs.select(text, id_col, *passing)
+    head = docs.select(text, id_col)
     out = T.StructType([*head.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
