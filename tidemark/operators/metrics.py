@@ -24,7 +24,9 @@ def latest_position(log: DataFrame) -> DataFrame:
 
 
 def remaining_tables(tables: DataFrame, pending: DataFrame) -> DataFrame:
-    return tables.agg(F.count("*").alias("total")).crossJoin(pending.agg(F.count("*").alias("remaining")))  # one row each
+    """``total, remaining`` from two frames with a ``name`` each."""
+    open_ = pending.select("name", F.lit(True).alias("open"))
+    return tables.join(open_, "name", "left").agg(F.count("*").alias("total"), F.count("open").alias("remaining"))
 
 
 def snapshot_seconds(start_ms: Column, stop_ms: Column) -> Column:

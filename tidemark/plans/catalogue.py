@@ -299,9 +299,10 @@ def log_partition_balance(spark, d):
     from pyspark.sql import Window
 
     late = by_file.withColumn("nth", nth).select("q", (here < F.lag(here).over(Window.partitionBy("q").orderBy("nth"))).alias("late"))
-    one = lambda df, c: df.groupBy(c).agg(F.count_distinct("q").alias("n")).agg((F.max("n") == 1).alias(f"each_{'file' if c == 'file' else 'key'}_in_one_queue"))
-    ok = late.agg((F.count_if("late") == 0).alias("in_order"))
-    return one(by_file, "file").crossJoin(one(by_key, "user_id")).crossJoin(ok).withColumn("queues", F.lit(8))  # one row each
+    together = lambda df, c: df.groupBy(c).agg(F.count_distinct("q").alias("n")).agg((F.max("n") == 1).alias("ok"))
+    found = [("each_file_in_one_queue", together(by_file, "file")), ("each_key_in_one_queue", together(by_key, "user_id")), ("in_order", late.agg((F.count_if("late") == 0).alias("ok")))]
+    rows = S.union_events([df.select(F.lit(name).alias("name"), "ok") for name, df in found])  # one row each
+    return rows.agg(F.lit(8).alias("queues"), *[F.max(F.when(F.col("name") == name, F.col("ok"))).alias(name) for name, _ in found])
 
 
 @query(EV + "SELECT DISTINCT file, seg AS segment, 'CommitLog-7-' || seg || '_cdc.idx' AS index_name, file AS log_name, TRUE AS is_segment FROM ev")
