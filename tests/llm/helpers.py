@@ -25,6 +25,7 @@ def awkward():
     rows += [(30 + i, prose(60, 77).replace(" ", "  ", i).replace("the", "THE", 1), "en", "a", 1) for i in range(3)]
     near = prose(120, 5).split()
     rows += [(40 + i, " ".join([*near[: 20 * i], "changed", *near[20 * i + 1 :]]), "en", "b", 1) for i in range(5)]
+    rows += [(None, " ".join([*near[:30], "other", *near[31:]]), None, None, None), (None, " ".join([*near[:50], "words", *near[51:]]), None, None, None)]
     rows += [(50, "repeated row", "en", "a", 1)] * 3
     return rows
 

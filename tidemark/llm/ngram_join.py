@@ -265,11 +265,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     extent = member.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("words") / block_words)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     member = member.join(extent, "comp").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = member.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "doc_id")
+    some_id = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id")  # null ids join like any other; the node tells texts of one id apart
+    member = member.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", some_id)
     member = materialize(member, "forest-members")
     release(spark)
     wanted = member.select("doc_id").distinct()
-    texts = materialize(rows.join(wanted, "doc_id", "left_semi"), "forest-texts")
+    texts = materialize(rows.select(some_id, "text").join(wanted, "doc_id", "left_semi"), "forest-texts")
     release(spark)
     posed = member.join(texts, "doc_id").select("comp", "i", "j", "own", "node", "text")
 

@@ -240,7 +240,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> Da
 
     found = materialize(docs.select("doc_id", "row", "text").filter(F.octet_length("text") >= length).mapInArrow(find, "doc_id long, row long, n long, pos long, h long, c long"), "suffix-anchors")
     often = found.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).filter("times > 1")
-    again = materialize(found.join(often.select("h", (F.col("c1") != F.col("c2")).alias("mixed")), "h"), "suffix-again")
+    often = materialize(often.select("h", (F.col("c1") != F.col("c2")).alias("mixed")), "suffix-often")  # a join of its own, whose hot gram Spark can split
+    again = materialize(found.join(often, "h"), "suffix-again")
     release(spark)
     kinds = again.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "row", "n", "pos")).alias("at"))
     kinds = materialize(kinds, "suffix-kinds")
