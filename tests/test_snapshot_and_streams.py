@@ -193,3 +193,37 @@ def test_order_is_kept_inside_queues(spark):
         assert [r["pos"] for r in dealt if r["file"] == f] == list(range(50))
     q = spark.range(1).select(E.queue_index(F.lit("x"), 3)).first()[0]
     assert 0 <= q < 3
+
+
+def test_listener_and_stop(spark, tmp_path):
+    from tidemark.streaming.pipeline import COMPLETED_PREMATURELY, stop
+
+    seen = M.StreamMetrics()
+    spark.streams.addListener(seen)
+    try:
+        folder = f"{tmp_path}/cdc"
+        log_source.write_segment(folder, "CommitLog-7-1.log", mutations(3))
+        c = capture(spark, tmp_path, lambda df, s: df.count())
+        q = c.start(log_source.read_stream(spark, folder), f"{tmp_path}/s", once=False, interval="1 second")
+        q.processAllAvailable()
+        assert stop(q, 0.5) == COMPLETED_PREMATURELY and not q.isActive
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        assert seen.rows == 3 and seen.failures == 0
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def test_snapshot_rows_of_a_table_stay_together(spark):
+    one = S.snapshot(spark.sql("SELECT 1 AS a, 'x' AS b UNION ALL SELECT 2, 'y'"), T1, TypeSystem(), 1)
+    assert len({r["q"] for r in E.partition_snapshots(one, 4).select(F.spark_partition_id().alias("q")).collect()}) == 1
+
+
+def test_stream_and_batch_agree(spark, tmp_path):
+    folder, out = f"{tmp_path}/cdc", []
+    for i in range(3):
+        log_source.write_segment(folder, f"CommitLog-7-{i}.log", mutations(4))
+    c = capture(spark, tmp_path, lambda df, s: out.extend((r["file"], r["pos"], r["op"], r["after"]["b"]["value"]) for r in df.collect()))
+    c.start(log_source.read_stream(spark, folder), f"{tmp_path}/s").awaitTermination()
+    log = L.read_log(spark, f"{folder}/CommitLog-7-*.log").withColumn("file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    rows = E.with_row(E.changes(log, SchemaRegistry([T1]).frame(spark)), T1, TypeSystem()).collect()
+    assert sorted(out) == sorted((r["file"], r["pos"], r["op"], r["after"]["b"]["value"]) for r in rows) and len(out) == 12

@@ -19,6 +19,7 @@ def test_date(spark):
     raw = (dt.date(2019, 2, 19) - dt.date(1970, 1, 1)).days - 2**31
     assert decoded(spark, "date", F.lit(raw)) == 17946
     assert decoded(spark, "date", F.lit(-2147463203)) == 20445
+    assert decoded(spark, "date", F.lit(17946), date_shift=False) == 17946
 
 
 def test_scalars(spark):

@@ -92,6 +92,7 @@ def varint_long(text: Column) -> Column:
 class TypeSystem:
     decimal_mode: str = DOUBLE
     varint_mode: str = LONG
+    date_shift: bool = True  # off for stores whose logs carry days since 1970 as they are
     udts: dict[str, list[tuple[str, str]]] = field(default_factory=dict)
     extra: dict[str, tuple[T.DataType, Callable[[Column], Column]]] = field(default_factory=dict)
 
@@ -124,7 +125,7 @@ class TypeSystem:
         if name in self.extra:
             return self.extra[name][1](c)
         if name == "date":
-            return date_days(c)
+            return date_days(c) if self.date_shift else c.cast("int")
         if name == "inet":
             return inet_text(c)
         if name == "duration":

@@ -187,6 +187,11 @@ def partition_for_order(df: DataFrame, queues: int, mode: str = "COMMITLOG_FILE"
     return df.repartition(queues, *by).sortWithinPartitions(*order)
 
 
+def partition_snapshots(df: DataFrame, queues: int) -> DataFrame:
+    """A table's snapshot rows stay together; only for sinks that need it, as it moves rows by table."""
+    return df.repartition(queues, "table")
+
+
 def queue_index(by: Column, queues: int) -> Column:
     return F.pmod(F.hash(by), F.lit(queues))
 

@@ -17,7 +17,7 @@ from ..functions.types import TypeSystem
 from ..operators import events as E
 from ..operators import offsets as O
 from ..spec import SchemaRegistry, TableSpec
-from .transfer import ERROR, OK, Transfer
+from .transfer import COMPLETED_PREMATURELY, ERROR, OK, Transfer
 
 FAIL_FAST, DEAD_LETTER = "failfast", "dead_letter"
 Sink = Callable[[DataFrame, TableSpec], None]
@@ -79,6 +79,16 @@ class Capture:
         return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
+def stop(query: StreamingQuery, timeout_s: float = 5) -> str:
+    """Let the running batch end if it does so in time, then stop; a cut-off batch runs again at the next start."""
+    try:
+        query.processAllAvailable() if timeout_s <= 0 else query.awaitTermination(timeout_s)
+    finally:
+        ended = not query.isActive
+        query.stop()
+    return OK if ended else COMPLETED_PREMATURELY
+
+
 def healthy(queries: list[StreamingQuery]) -> dict[str, object]:
     """Whether all queries run, and what ended those that do not."""
     down = {q.name or str(q.id): str(q.exception() or "stopped") for q in queries if not q.isActive}
