@@ -44,7 +44,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
     taken = materialize(mix(docs).filter("copies > 0").select("doc_id", "copies"), "pipeline-mix")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
+    # Both sides grow with the input: a merge join at every size.
+    return docs.join(taken.hint("merge"), "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
