@@ -33,7 +33,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete materialised steps of which all that was derived is written by now."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
@@ -83,7 +93,8 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
             .join(jump, "label", "left")
             .select("id", F.least("label", "near", "jump").alias("label"), (F.least("label", "near", "jump") < F.col("label")).alias("moved"))
         )
-        step = materialize(step, f"{tag}-labels")
-        labels = step.select("id", "label")
-        if step.filter("moved").isEmpty():
-            return labels
+        old, labels = labels, materialize(step, f"{tag}-labels")
+        discard(old)
+        if labels.filter("moved").isEmpty():
+            discard(both)
+            return labels.select("id", "label")

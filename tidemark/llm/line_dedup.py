@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, release, table, width
+from .common import discard, materialize, release, table, width
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -113,6 +113,7 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drop = drop.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("pos")).alias("__drop"))
     drop = materialize(drop.select(F.col("doc_id").alias("__id"), F.col("row").alias("__other"), "__drop"), "line-drop")
     release(spark)
+    discard(lines, common)
     left = docs.withColumns({"__row": F.xxhash64(text), "__lines": F.split(text, "\n")})
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__other"))
     return left.join(drop, same, "left").drop("__id", "__other", "__row")

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, table
+from .common import SPACE, discard, materialize, table
 
 KEY = ["src", "no_src"]  # source with null as '', and whether it was null
 
@@ -62,6 +62,7 @@ def solve(sizes: DataFrame, goals: DataFrame, base: float, most: float, steps: i
     for _ in range(steps):
         if state.filter("open").isEmpty():
             break
+        old = state
         x = F.col("size") / F.col("scale")
         p = 1 / (1 + F.exp(-(F.lit(b) + F.col("lam") * x)))
         tokens = F.col("n") * F.col("size") * most
@@ -80,6 +81,7 @@ def solve(sizes: DataFrame, goals: DataFrame, base: float, most: float, steps: i
             F.when(F.col("open"), hi).otherwise(F.col("hi")).alias("hi"), (F.col("open") & ~F.coalesce(done, F.lit(True))).alias("open"),
         )
         state = materialize(state, "mix-dual")
+        discard(old)
     return state
 
 
@@ -110,6 +112,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     extra = F.floor(F.col("cum") + 0.5) - F.floor(F.coalesce(F.lag("cum").over(along), F.lit(0.0)) + 0.5)
     k = F.least(F.col("n") * most, F.greatest(F.lit(0), F.floor(F.col("n") * F.col("rate")) + extra)).cast("long")
     plan = materialize(rated.withColumn("k", k).drop("cum"), "mix-plan")
+    discard(dual, sizes)
     for _ in range(fixes):
         off = plan.groupBy(*KEY).agg(F.round(F.first("target") - F.sum(F.col("k") * F.col("size"))).cast("long").alias("off"))
         room = F.when(F.col("off") > 0, F.col("n") * most - F.col("k")).otherwise(F.col("k"))
@@ -120,13 +123,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             break
         room = F.when(F.col("fix") > 0, F.col("n") * most - F.col("k")).otherwise(F.col("k"))
         move = F.signum("fix") * F.least(room, F.floor(F.abs("fix") / F.col("size")))
-        plan = plan.join(pick, [*KEY, "size"], "left").withColumn("k", (F.col("k") + F.coalesce(move, F.lit(0))).cast("long")).drop("fix")
-        plan = materialize(plan, "mix-plan")
+        fixed = plan.join(pick, [*KEY, "size"], "left").withColumn("k", (F.col("k") + F.coalesce(move, F.lit(0))).cast("long")).drop("fix")
+        old, plan = plan, materialize(fixed, "mix-plan")
+        discard(old, pick)
     # Documents of equal source and size share k copies: k div n each, one more for the first k mod n by a hash of the id.
     # Ranks are counted inside sub-buckets of about 256 documents, so that a hot (source, size) is dealt over many tasks.
     each = narrow.join(plan.select(*KEY, "size", "n", "k", "rate"), [*KEY, "size"], "left").withColumn("more", F.coalesce(F.col("k") % F.col("n"), F.lit(0)))
     each = each.withColumn("h", F.xxhash64("doc_id", F.lit("mix"))).withColumn("sub", F.expr("CASE WHEN more > 0 THEN pmod(h, ceil(n / 256)) END"))
     each = materialize(each, "mix-docs")
+    discard(narrow, plan)
     whole = F.coalesce(F.floor(F.col("k") / F.col("n")), F.lit(0)).cast("long")
     even = each.filter("more = 0").withColumn("copies", whole)
     odd = each.filter("more > 0")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import _batches
-from .common import bound_batches, components, materialize, release, table
+from .common import bound_batches, components, discard, materialize, release, table
 
 #: Sketch distances: of a leader's own members, and the noise allowed on top of the threshold's distance (three sigma of 112 values).
 NEAR, NOISE = 0.25, 0.12
@@ -235,6 +235,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         yield flush()
 
     edges: DataFrame | None = None
+    spent: list[DataFrame] = []
     while True:
         count = waiting.groupBy("key").agg(F.count("*").alias("n"))
         large = materialize(count.filter(F.col("n") > cap), "forest-large")
@@ -254,11 +255,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         links = found.filter("b IS NOT NULL AND a <> b").select("a", "b")
         edges = links if edges is None else edges.union(links)
         release(spark)
+        spent.append(found)
+        discard(waiting, large)
         waiting = found.filter("b IS NULL").select("key", F.col("a").alias("node")).distinct()
         if not some:
             break
         waiting = materialize(waiting, "forest-met")
     label = components(edges, "forest-near")
+    discard(*spent)
 
     # Exact verification inside candidate components.
     member = nodes.select("node", "doc_id", "words").join(label.withColumnRenamed("id", "node").withColumnRenamed("label", "comp"), "node")
@@ -269,6 +273,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     member = member.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", some_id)
     member = materialize(member, "forest-members")
     release(spark)
+    discard(nodes)
     wanted = member.select("doc_id").distinct()
     texts = materialize(rows.select(some_id, "text").join(wanted, "doc_id", "left_semi"), "forest-texts")
     release(spark)
@@ -304,10 +309,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     checked = posed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify, "a binary, b binary, links long")
     checked = materialize(checked, "forest-verified")
     release(spark)
+    discard(member, texts)
     degree = checked.filter("b IS NULL").groupBy(F.col("a").alias("copy")).agg(F.sum("links").alias("n_links"))
     joined = components(checked.filter("b IS NOT NULL").select("a", "b"), "forest-class").withColumnRenamed("id", "copy")
     known = copies.join(joined, "copy", "left").join(degree, "copy", "left").withColumn("label", F.coalesce("label", "copy"))
     known = materialize(known, "forest-known")
+    discard(checked, copies)
     classes = known.groupBy("label").agg(F.min("copy_id").alias("class_id"), F.sum("copies").alias("class_size"))
     classed = known.join(classes, "label").select("copy", "copy_id", "copies", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return signed.select("doc_id", "copy").join(classed, "copy").select("doc_id", "class_id", "class_size", "copy_id", "copies", "n_links")

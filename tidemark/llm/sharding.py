@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table, width
+from .common import discard, materialize, table, width
 
 _LOCAL = "doc_id long, size long, text_crc32 long, part int, before long, row long"
 
@@ -48,6 +48,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     order = ["h", "doc_id", "size", "text_crc32"]
     local = sized.repartitionByRange(width(spark), *order).sortWithinPartitions(*order).mapInPandas(_running, _LOCAL)
     local = materialize(local, "shard-local")
+    discard(sized)
     totals = sorted(local.groupBy("part").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect())
     starts, total, rows = [], 0, 0
     for t in totals:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, release, table, width
+from .common import bound_batches, discard, materialize, release, table, width
 from .ngram_join import _groups
 
 GRAM = 32
@@ -219,8 +219,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> DataFrame:
-    """``doc_id, row, s, e``: byte spans, maybe overlapping, that cover exactly what repeats; from ``(doc_id, row, text)``."""
+def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, row, s, e`` in two parts: byte spans, maybe overlapping, that cover exactly what repeats; from ``(doc_id, row, text)``."""
     spark, back = docs.sparkSession, length - GRAM
     bound_batches(spark)
 
@@ -243,6 +243,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> Da
     often = materialize(often.select("h", (F.col("c1") != F.col("c2")).alias("mixed")), "suffix-often")  # a join of its own, whose hot gram Spark can split
     again = materialize(found.join(often, "h"), "suffix-again")
     release(spark)
+    discard(found, often)
     kinds = again.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "row", "n", "pos")).alias("at"))
     kinds = materialize(kinds, "suffix-kinds")
     lone = kinds.filter("times = 1").select("h", "c")
@@ -250,10 +251,12 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> Da
     whole = whole.select("doc_id", "row", F.greatest(F.lit(0), F.col("pos") - back).alias("s"), (F.least("pos", F.col("n") - length) + length).alias("e"))
     whole = materialize(whole, "suffix-whole")
     release(spark)
+    discard(again)
 
     # The bytes of one holder of each different context.
     asked = kinds.groupBy("at.doc_id", "at.row").agg(F.collect_list(F.struct("at.pos", "h", F.col("times").alias("times"))).alias("asked"))
     asked = materialize(asked, "suffix-asked")
+    discard(kinds)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,6 +287,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> Da
     contexts = posed.mapInArrow(fetch, "lead binary, h long, times long, doc_id long, row long, pos long, lo long, hi long, ctx binary")
     contexts = materialize(contexts, "suffix-contexts")
     release(spark)
+    discard(asked)
     hot = materialize(contexts.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > cap).select("h"), "suffix-hot")
     spread = not hot.isEmpty()
     local = contexts.join(hot, "h", "left_anti").select(names) if spread else contexts
@@ -325,7 +329,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> Da
         each = each.withColumns({"w1": F.xxhash64("w"), "w2": F.xxhash64(F.lit(1), "w")}).select("h", "o", "w1", "w2", "times", "doc_id", "row", "pos")
         twice = each.groupBy("h", "o", "w1", "w2").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
         border = border.union(each.filter("times = 1").join(twice, ["h", "o", "w1", "w2"]).select("doc_id", "row", (F.col("pos") - F.col("o")).alias("s"), (F.col("pos") - F.col("o") + length).alias("e")))
-    return whole.union(materialize(border, "suffix-border"))
+    border = materialize(border, "suffix-border")
+    discard(contexts, hot)
+    return whole, border
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, cap: int = 100_000) -> DataFrame:
@@ -339,9 +345,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     whole = F.coalesce(F.col("doc_id"), F.lit(-1))  # null ids join like any other
-    spans = repeated_spans(rows.withColumn("doc_id", whole), length, cap)
-    spans = materialize(spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "suffix-spans")
+    found = repeated_spans(rows.withColumn("doc_id", whole), length, cap)
+    spans = materialize(found[0].union(found[1]).groupBy("doc_id", "row").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "suffix-spans")
     release(docs.sparkSession)
+    discard(*found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
