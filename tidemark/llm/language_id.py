@@ -108,7 +108,8 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32)
     far = code > 0xFFFE
     if far.any():
-        code = np.where(far, [0xFFFF if chr(c).isalpha() else SPACE for c in code.tolist()] if len(code) else code, code)
+        code = code.copy()
+        code[far] = [0xFFFF if chr(c).isalpha() else SPACE for c in code[far].tolist()]
     ends = np.cumsum([len(x) for x in low])
     code = code.astype(np.uint16)
     letter = _letters()[code]
