@@ -142,3 +142,24 @@ def test_windows_whatever_the_group_size(few, large):
             for i in rows:
                 want[i, o] = n[m[i, back - o : back - o + 200].tobytes()] > 1
     assert (S.repeated_windows(m, lo, hi, group, 200, few, large) == want).all()
+
+
+def test_runs_are_joined_where_they_lie(spark, monkeypatch):
+    """A batch is shuffled for itself only; the runs are read bucket by bucket."""
+    plans, write = [], L.LineRuns._write
+
+    def noted(self, rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows)
+
+    monkeypatch.setattr(L.LineRuns, "_write", noted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = L.LineRuns(spark, 8, fanout=3)
+        for i in range(3):
+            runs.add(spark.createDataFrame([(bytearray([1]), 10 - i)], "h binary, doc_id long"))
+        runs.close()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plans[2].count("SortMergeJoin") == 2 and all(p.count("Exchange hashpartitioning") == 2 for p in plans[:3])
