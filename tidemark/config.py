@@ -10,7 +10,7 @@ from .operators.filters import parse_excludes
 #: Recognised keys and their defaults (None: no default).
 DEFAULTS: dict[str, object] = {
     "topic.prefix": None, "key.converter": None, "value.converter": None, "snapshot.mode": "INITIAL", "snapshot.consistency": "QUORUM", "http.port": 8000,
-    "cassandra.config": None, "cluster.name": "Test Cluster", "driver.config.file": "application.conf", "node.id": None, "commit.log.relocation.dir": None,
+    "cluster.name": "Test Cluster", "driver.config.file": "application.conf", "node.id": None, "commit.log.relocation.dir": None,
     "tracing.enabled": False, "commit.log.post.processing.enabled": True, "commit.log.error.reprocessing.enabled": False,
     "commit.log.real.time.processing.enabled": False, "commit.log.marked.complete.poll.interval.ms": 10000, "commit.log.transfer.class": None,
     "offset.backing.store.dir": None, "offset.flush.interval.ms": 0, "max.offset.flush.size": 100, "schema.refresh.interval.ms": 10000,
