@@ -28,7 +28,7 @@ from .common import bound_batches, share, table
 
 _MASK = (1 << 64) - 1
 #: Pre-tokens remembered between batches by one worker; the memo starts anew beyond it.
-MEMO = 500_000
+MEMO = 300_000
 #: Text handled at once inside an Arrow batch, in code points.
 STEP = 2_000_000
 
