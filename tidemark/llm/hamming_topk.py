@@ -94,7 +94,16 @@ def _bits(column: pd.Series) -> np.ndarray:
     return (np.stack(column.to_numpy()) > 0).astype(np.uint8)
 
 
-def hamming_topk(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", segment_bits: int = 14, row_block: int = 16_384, query_block: int = 512) -> DataFrame:
+def hamming_topk(
+    rows: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    segment_bits: int = 14,
+    row_block: int = 16_384,
+    query_block: int = 512,
+) -> DataFrame:
     """``query_id, rank, neighbour_id, distance``: the k nearest rows of each query by Hamming distance, ties by smaller id.
 
     A query never finds rows of its own id.  Null or empty vectors are neither

@@ -85,7 +85,16 @@ def solve(sizes: DataFrame, goals: DataFrame, base: float, most: float, steps: i
     return state
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, fixes: int = 5) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: tuple[int, ...] = (5, 2, 1),
+    share: float = 1.5,
+    most: int = 2,
+    fixes: int = 5,
+) -> DataFrame:
     """``doc_id, size, source_size, target, rate, copies, taken``, one row per input row.
 
     Sources in code-point order, null last, weigh ``weights``, repeating, and

@@ -165,7 +165,20 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, trees: int = 16, max_depth: int = 7, recall: float = 0.999, cap: int = 512, pilots: int = 16, block_docs: int = 512, block_words: int = 400_000) -> DataFrame:
+def ngram_join(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = 5,
+    threshold: float = 0.8,
+    trees: int = 16,
+    max_depth: int = 7,
+    recall: float = 0.999,
+    cap: int = 512,
+    pilots: int = 16,
+    block_docs: int = 512,
+    block_words: int = 400_000,
+) -> DataFrame:
     """``doc_id, class_id, class_size, copy_id, copies, n_links``, one row per input row.
 
     ``copy_id`` is the smallest id with the same words and ``copies`` their
@@ -201,7 +214,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     tree = s.reshape(trees, max_depth)
                     keys.append([xxhash.xxh3_64_intdigest(tree[t, :depth].tobytes(), seed=t) - (1 << 63) for t in range(trees)])
                     sketch.append(s.astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["doc_id", "copy", "words", "keys", "sketch"])
+                columns = [ids, pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "words", "keys", "sketch"])
 
     signed = materialize(rows.mapInArrow(sign, "doc_id long, copy binary, words long, keys array<long>, sketch binary"), "forest-signed")
     copies = materialize(signed.groupBy("copy").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies")), "forest-copies")
@@ -245,7 +259,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             h = F.xxhash64("node")
             held = waiting.join(large, "key").withColumn("subs", F.ceil(F.col("n") / cap).cast("int"))
             own = held.select("key", F.pmod(h, F.col("subs")).cast("int").alias("sub"), "node", F.lit(False).alias("pilot"))
-            first = held.groupBy("key").agg(F.first("subs").alias("subs"), F.slice(F.sort_array(F.collect_set(F.when(F.pmod(h, F.col("n")) < 4 * pilots, F.col("node")))), 1, pilots).alias("nodes"))  # a bounded set: about 4 * pilots of n
+            some_nodes = F.collect_set(F.when(F.pmod(h, F.col("n")) < 4 * pilots, F.col("node")))  # bounded: about 4 * pilots of n
+            first = held.groupBy("key").agg(F.first("subs").alias("subs"), F.slice(F.sort_array(some_nodes), 1, pilots).alias("nodes"))
             lone = held.groupBy("key").agg(F.min("node").alias("node"), F.first("subs").alias("subs"))
             led = first.select("key", "subs", F.explode("nodes").alias("node")).union(lone.select("key", "subs", "node")).distinct()
             led = led.select("key", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "node", F.lit(True).alias("pilot"))
@@ -304,7 +319,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hit = np.nonzero(links)[0].tolist()
             first = [names[x] for x in hit] + [names[x] for x, _ in edges]
             second = [None] * len(hit) + [names[y] for _, y in edges]
-            yield pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary()), pa.array([int(links[x]) for x in hit] + [0] * len(edges), pa.int64())], names=["a", "b", "links"])
+            count = [int(links[x]) for x in hit] + [0] * len(edges)
+            yield pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary()), pa.array(count, pa.int64())], names=["a", "b", "links"])
 
     checked = posed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify, "a binary, b binary, links long")
     checked = materialize(checked, "forest-verified")

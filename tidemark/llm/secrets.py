@@ -226,7 +226,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = thresholds([tuple(r) for r in histogram], q)
     bound = F.create_map(*[F.lit(x) for kv in least.items() for x in kv]) if least else None
     keep = F.filter("runs", lambda r: r["bin"] >= F.coalesce(bound[r["band"]], F.lit(BINS + 1))) if least else F.filter("runs", lambda r: F.lit(False))
-    return scanned.select(id_col, "base", F.transform(keep, lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"))).alias("random"))
+    span = lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"))
+    return scanned.select(id_col, "base", F.transform(keep, span).alias("random"))
 
 
 def joined(spans: Column) -> Column:
@@ -240,4 +241,6 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     plain = F.transform("random", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", plain)).alias("spans"), F.size("random").cast("long").alias("n_random"))
+    base, spans = joined(F.col("base")), joined(F.concat("base", plain))
+    n_random = F.size("random").cast("long").alias("n_random")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), n_random)

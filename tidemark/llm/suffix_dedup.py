@@ -233,10 +233,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
                 doc, pos, h = anchors(np.frombuffer(b"".join(texts), np.uint8), starts, sizes, length)
                 c = [xxhash.xxh3_64_intdigest(texts[d][max(0, p - back) : p + length], seed=min(p, back)) - (1 << 63) for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
                 d = doc.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[first + x] for x in d], pa.int64()), pa.array([keys[first + x] for x in d], pa.int64()), pa.array(sizes[doc], pa.int64()), pa.array(pos, pa.int64()), pa.array(h.view(np.int64)), pa.array(c, pa.int64())],
-                    names=["doc_id", "row", "n", "pos", "h", "c"],
-                )
+                columns = [[ids[first + x] for x in d], [keys[first + x] for x in d], sizes[doc], pos, h.view(np.int64), c]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc_id", "row", "n", "pos", "h", "c"])
 
     found = materialize(docs.select("doc_id", "row", "text").filter(F.octet_length("text") >= length).mapInArrow(find, "doc_id long, row long, n long, pos long, h long, c long"), "suffix-anchors")
     often = found.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).filter("times > 1")
@@ -298,7 +296,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
         r, first = np.nonzero(edge == 1)
         _, last = np.nonzero(edge == -1)
         pos = g.column("pos").to_numpy()[r]
-        return pa.RecordBatch.from_arrays([g.column("doc_id").combine_chunks().take(pa.array(r)), g.column("row").combine_chunks().take(pa.array(r)), pa.array(pos - last + 1), pa.array(pos - first + length)], names=["doc_id", "row", "s", "e"])
+        of = [g.column(c).combine_chunks().take(pa.array(r)) for c in ("doc_id", "row")]
+        return pa.RecordBatch.from_arrays([*of, pa.array(pos - last + 1), pa.array(pos - first + length)], names=["doc_id", "row", "s", "e"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -328,7 +327,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
         each = each.withColumn("w", F.expr(f"substring(ctx, cast({back} - o + 1 as int), {length})"))
         each = each.withColumns({"w1": F.xxhash64("w"), "w2": F.xxhash64(F.lit(1), "w")}).select("h", "o", "w1", "w2", "times", "doc_id", "row", "pos")
         twice = each.groupBy("h", "o", "w1", "w2").agg(F.count("*").alias("k")).filter("k > 1").drop("k")
-        border = border.union(each.filter("times = 1").join(twice, ["h", "o", "w1", "w2"]).select("doc_id", "row", (F.col("pos") - F.col("o")).alias("s"), (F.col("pos") - F.col("o") + length).alias("e")))
+        start = F.col("pos") - F.col("o")
+        found_again = each.filter("times = 1").join(twice, ["h", "o", "w1", "w2"])
+        border = border.union(found_again.select("doc_id", "row", start.alias("s"), (start + length).alias("e")))
     border = materialize(border, "suffix-border")
     discard(contexts, hot)
     return whole, border
@@ -351,7 +352,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     discard(*found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        types = (pa.int64(), pa.int64(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])), pa.binary())
+
+        def rows_of(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_bytes", "spans", "kept"])
+
         for batch in batches:
             out: list[tuple] = []
             size = 0
@@ -364,10 +370,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out.append((d, len(b), [{"s": x, "e": y} for x, y in gone], b"".join([*kept, b[at:]])))
                 size += len(b)
                 if size > STEP:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), kind, pa.binary()), strict=True)], names=["doc_id", "n_bytes", "spans", "kept"])
+                    yield rows_of(out)
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), kind, pa.binary()), strict=True)], names=["doc_id", "n_bytes", "spans", "kept"])
+                yield rows_of(out)
 
     at = spans.withColumnsRenamed({"doc_id": "__id", "row": "__row"})
     joined = rows.join(at, (whole == F.col("__id")) & (F.col("row") == F.col("__row")), "left").select("doc_id", "text", "spans")
