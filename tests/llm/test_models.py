@@ -169,6 +169,24 @@ def test_random_keys_are_found_and_words_are_not(spark):
     assert np.mean(hits) > 0.95 and len(false) == 0
 
 
+def test_a_run_may_follow_an_equals_sign():
+    token = "Zq8vT2mXc5Lr9KdWb3Hn"
+    runs = lambda text: [text[m.start() : m.end()] for m in secrets.RUN.finditer(text)]
+    for text in (f"AWS_KEY={token}", f"private_key={token}\n", f"x?sig={token}&a=b", f"a&auth={token}", f"a=={token}", f"{token}=1", f"{token}==="):
+        assert runs(text) == [token]
+    assert runs(f"sig={token}==&b") == [token + "=="] and runs(f"{token}=") == [token + "="] and runs(f"A_VERY_LONG_NAME_OF={token}") == ["A_VERY_LONG_NAME_OF", token]
+
+
+def test_keys_after_an_equals_sign_are_found(spark):
+    r = random.Random(6)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(r.choice(alphabet) for _ in range(64)) for _ in range(40)]
+    lead = ["AWS_KEY=", "https://host/x?a=1&sig=", "private_key=", "?auth="]
+    rows = [(i, f"{prose(30, i)} {lead[i % 4]}{k} {prose(10, i)}", None, None, None) for i, k in enumerate(keys)]
+    found = {r["doc_id"]: {rows[r["doc_id"]][1][s["start"] : s["end"]] for s in r["random"]} for r in secrets.scan_secrets(frame(spark, rows)).collect()}
+    assert np.mean([k in found[i] for i, k in enumerate(keys)]) > 0.95
+
+
 def test_length_matters():
     null = secrets.Null([prose(2000, 1)])
     r = random.Random(1)

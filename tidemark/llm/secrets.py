@@ -35,8 +35,8 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of [0-9a-f]+ is maximal, so this finds those of 24 and more
-#: Candidates of the battery: maximal runs of token characters.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+#: Candidates of the battery: maximal runs of token characters; '=' counts as trailing padding only, so a run may follow or precede one.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 LEN_GRID = (16, 20, 24, 32, 48, 64, 96, 128)
 BANDS = (20, 24, 32, 48, 80)
 BINS_PER_DECADE, BINS = 10, 200
