@@ -111,6 +111,33 @@ def test_suffixes_on_documents(spark, sf_dir):
     assert S.suffix_dedup(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("step", [1000, 128, 900])
+def test_anchors_beyond_the_bits_of_a_position(monkeypatch, step):
+    """Positions of 10 bits: texts longer than that have the anchors they have with 24 bits."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, n).astype(np.uint8).tobytes() for n in (5000, 70, 10, 1024, 1025, 0, 3000)]
+    texts[6] = texts[6][:2500] + texts[0][4000:4400] + b"a" * 300
+    low = np.uint64((1 << 24) - 1024)  # bits that are position with 24 and hash with 10
+    hashes = S.gram_hashes
+    monkeypatch.setattr(S, "gram_hashes", lambda data: hashes(data) & ~low)
+    want = S.text_anchors(texts, 64)
+    monkeypatch.setattr(S, "STEP", step)
+    monkeypatch.setattr(S, "_LOW", np.uint64(1023))
+    got = S.text_anchors(texts, 64)
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    at = set(zip(want[0].tolist(), want[1].tolist(), strict=True))
+    assert {p for d, p in at if d == 0 and p > 4000} and all(any((0, q) in at for q in range(p, p + 33)) for p in range(5000 - 63))
+
+
+def test_repeats_beyond_16_mib(spark):
+    rng = np.random.default_rng(8)
+    long = rng.integers(97, 123, (1 << 24) + 5000).astype(np.uint8).tobytes().decode()
+    passage = long[-1500:-1000]
+    rows = [(1, long, None, None, None), (2, f"<{passage}>", None, None, None)]
+    got = {r["doc_id"]: [(s["s"], s["e"]) for s in r["spans"]] for r in S.suffix_dedup(frame(spark, rows)).select("doc_id", "spans").collect()}
+    assert got == {1: [(len(long) - 1500, len(long) - 1000)], 2: [(1, 501)]}
+
+
 @given(st.lists(st.lists(st.integers(0, 2), min_size=3, max_size=3), max_size=40))
 @settings(max_examples=50, deadline=None)
 def test_multikey_order(rows):

@@ -32,7 +32,7 @@ from .common import bound_batches, discard, materialize, release, table, width
 from .ngram_join import _groups
 
 GRAM = 32
-#: Bytes handled at once inside an Arrow batch; positions in it fit into 24 bits.
+#: Bytes handled at once inside an Arrow batch, also of one longer text; positions in it fit into 24 bits.
 STEP = 1 << 22
 _LOW = np.uint64((1 << 24) - 1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -90,6 +90,24 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
         yield first, first + len(held), held
 
 
+def text_anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``anchors`` of whole texts.  A text above STEP bytes is cut into pieces that overlap by ``length - 1`` bytes, so that each window lies in one piece."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    step = max(STEP, 2 * length)
+    if sizes.sum() <= step:
+        return anchors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes, sizes, length)
+    out = []
+    for i, t in enumerate(texts):
+        found = []
+        for at in range(0, max(1, len(t) - length + 1), step - length + 1):
+            piece = np.frombuffer(t, np.uint8)[at : at + step]
+            _, pos, h = anchors(piece, np.zeros(1, np.int64), np.array([len(piece)], np.int64), length)
+            found.append((pos + at, h))
+        pos, first = np.unique(np.concatenate([p for p, _ in found]), return_index=True)  # an anchor in an overlap may come twice
+        out.append((np.full(len(pos), i, np.int64), pos, np.concatenate([h for _, h in found])[first]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def multikey_order(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Multikey quicksort of rows of words inside groups: the sorted order, and a flag for each row that equals another.
 
@@ -229,8 +247,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, _, texts in _pieces(batch.column(2)):
                 sizes = np.array([len(t) for t in texts], np.int64)
-                starts = np.cumsum(sizes) - sizes
-                doc, pos, h = anchors(np.frombuffer(b"".join(texts), np.uint8), starts, sizes, length)
+                doc, pos, h = text_anchors(texts, length)
                 c = [xxhash.xxh3_64_intdigest(texts[d][max(0, p - back) : p + length], seed=min(p, back)) - (1 << 63) for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
                 d = doc.tolist()
                 columns = [[ids[first + x] for x in d], [keys[first + x] for x in d], sizes[doc], pos, h.view(np.int64), c]
