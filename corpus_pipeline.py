@@ -1,8 +1,9 @@
 """A training corpus from ``documents``: language ID, line dedup, near-duplicate removal, mixing, tokens.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor kept.
-All but the last return the columns of ``documents``.  Ids are taken to be
-unique and not null on entry; after mixing, a document that the mix takes twice is there twice.
+All but the last return the columns of ``documents``.  Ids may be null or
+repeat: a row is a document of its own, and stages that join their result back
+give each row a key first.  After mixing, a document that the mix takes twice is there twice.
 """
 
 from __future__ import annotations
@@ -21,11 +22,16 @@ from tidemark.llm.ngram_join import ngram_join
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _keyed(docs: DataFrame, tag: str) -> DataFrame:
+    """``docs`` with ``__row``, unique, and ``__content``, a hash of the row; written down, so that keys stay whatever is run again."""
+    return materialize(docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("__content")).withColumn("__row", F.monotonically_increasing_id()), tag)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; those without letters (``und``) go."""
     tables = train(docs.filter(~held_out()))
-    rejected = materialize(identify(docs, tables).filter("lang_pred = 'und'").select("doc_id"), "pipeline-rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.select("text", F.struct(*COLUMNS).alias("__doc"))  # whole rows pass through, none is looked up again
+    return identify(rows, tables, id_col="__doc").filter("lang_pred <> 'und'").select("__doc.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,17 +41,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of documents linked at five-word similarity of 0.8, the one with the smallest id."""
-    classed = ngram_join(docs)
-    gone = materialize(classed.filter(F.col("doc_id") != F.col("class_id")).select("doc_id"), "pipeline-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each class of documents linked at five-word similarity of 0.8, one row, of the smallest id; a null id is the last."""
+    rows = _keyed(docs, "pipeline-near")
+    classed = ngram_join(rows, id_col="__row").select(F.col("doc_id").alias("__row"), F.col("class_id").alias("__class"), "class_size")
+    classed = materialize(classed.filter("class_size > 1").drop("class_size"), "pipeline-classes")
+    known = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__content", "__row").alias("rank")).join(classed, "__row")
+    first = known.groupBy("__class").agg(F.min("rank").alias("first")).select(F.col("first.__row").alias("__row"))
+    gone = materialize(classed.select("__row").join(first, "__row", "left_anti"), "pipeline-gone")
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = materialize(mix(docs).filter("copies > 0").select("doc_id", "copies"), "pipeline-mix")
+    rows = _keyed(docs, "pipeline-rows")
+    taken = materialize(mix(rows, ties=("__content", "__row")).filter("copies > 0").select("__row", "copies"), "pipeline-mix")
     # Both sides grow with the input: a merge join at every size.
-    return docs.join(taken.hint("merge"), "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
+    return rows.join(taken.hint("merge"), "__row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

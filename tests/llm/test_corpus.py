@@ -129,6 +129,30 @@ def test_topk_other_widths(spark):
     assert hamming_topk.hamming_topk(none, none).count() == 0 and hamming_topk.hamming_topk(df, none).count() == 0
 
 
+def test_stages_take_null_and_repeated_ids(spark, sf_dir):
+    import corpus_pipeline as P
+    from test_ngram_join import brute
+
+    repeated = [(70, f"row {i} of one id has words of its own: {' '.join(f'w{i}x{j}' for j in range(12))}", "en", "d", 1) for i in range(4)]
+    nulls = [(None, f"another null id {' '.join(f'n{i}x{j}' for j in range(12))}", "en", "e", 1) for i in range(4)] + [(None, "same words", "en", "e", 1)] * 2
+    rows = [*awkward(), *repeated, *nulls, (50, "!!", "en", "a", 1)]
+    docs = frame(spark, rows, clash=False)
+    got = lambda stage: [tuple(r) for r in stage(spark, docs, sf_dir).collect()]
+    assert key(got(P.language_id)) == key(r for r in rows if any(c.isalpha() for c in r[1] or ""))
+    kept, classes = got(P.drop_near_duplicates), defaultdict(list)
+    for i, c, *_ in brute([(i, *r[1:]) for i, r in enumerate(rows)]):
+        classes[c].append(rows[i])
+    smallest = [min((r[0] for r in c if r[0] is not None), default=None) for c in classes.values()]
+    assert sorted(map(str, (r[0] for r in kept))) == sorted(map(str, smallest)) and not Counter(kept) - Counter(rows)
+    mixed, (size, want), taken = got(P.mix_sources), targets(rows), Counter()
+    for r in mixed:
+        taken[r[3]] += words(r[1])
+    assert all(n <= 2 * Counter(rows)[r] for r, n in Counter(mixed).items())
+    assert all(abs(taken[s] - t) <= (10_000 if s == "a" else 60) and taken[s] <= 2 * size[s] for s, t in want.items())
+    planned = mixing.mix(docs).agg(F.sum("copies")).first()[0]
+    assert len(mixed) == planned and any(r[0] is None for r in mixed)
+
+
 def test_pipeline(spark, sf_dir, tmp_path):
     """Each stage on what the one before kept, against brute force."""
     import corpus_pipeline as P

@@ -94,6 +94,7 @@ def mix(
     share: float = 1.5,
     most: int = 2,
     fixes: int = 5,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, size, source_size, target, rate, copies, taken``, one row per input row.
 
@@ -103,10 +104,11 @@ def mix(
     words has rate and copies 0.  After rounding, a source misses its target by
     less than the smallest document that could still be added or taken away,
     or by what ``fixes`` rounds of correction left.  Rows repeating an id are
-    documents of their own; an empty table gives no rows.
+    documents of their own; an empty table gives no rows.  Columns ``ties``
+    decide between rows of one id and are returned too.
     """
     src = F.col(source_col).cast("string")
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(src, F.lit("")).alias("src"), src.isNull().alias("no_src"), n_words(F.col(text_col)).alias("size"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(src, F.lit("")).alias("src"), src.isNull().alias("no_src"), n_words(F.col(text_col)).alias("size"), *ties)
     narrow = materialize(narrow, "mix-sizes")
     sizes = materialize(narrow.groupBy(*KEY, "size").agg(F.count("*").alias("n")), "mix-counts")
     goals = materialize(targets(sizes, weights, share, most), "mix-targets")
@@ -148,12 +150,12 @@ def mix(
     subs = odd.groupBy(*group, "sub").agg(F.count("*").alias("in_sub"))
     before = Window.partitionBy(*group).orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
     subs = subs.withColumn("before", F.coalesce(F.sum("in_sub").over(before), F.lit(0)))
-    rank = F.col("before") + F.row_number().over(Window.partitionBy(*group, "sub").orderBy("h", "doc_id"))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy(*group, "sub").orderBy("h", "doc_id", *ties))
     odd = odd.join(subs, [*group, "sub"]).withColumn("copies", whole + F.when(rank <= F.col("more"), 1).otherwise(0))
-    done = even.select("doc_id", *KEY, "size", "rate", "copies").union(odd.select("doc_id", *KEY, "size", "rate", "copies"))
+    done = even.select("doc_id", *KEY, "size", "rate", "copies", *ties).union(odd.select("doc_id", *KEY, "size", "rate", "copies", *ties))
     return done.join(goals, KEY).select(
         "doc_id", "size", "source_size", "target", F.coalesce("rate", F.lit(0.0)).alias("rate"), "copies", (F.col("copies") * F.col("size")).alias("taken"),
-        F.when(~F.col("no_src"), F.col("src")).alias("source"),
+        F.when(~F.col("no_src"), F.col("src")).alias("source"), *ties,
     )
 
 
