@@ -94,6 +94,32 @@ def test_phrases_are_longest_matches(training, text):
     assert table.phrases(blocks, np.ones(len(text), int))[0] == naive_phrases(training, text)
 
 
+@given(st.text(alphabet="abcdefg \u4e2d\U00020000", min_size=1, max_size=60), st.text(alphabet="abcdefgh \u4e2d\u6587\U00020000\U00020001", min_size=1, max_size=80), st.sampled_from([1, 2, 4, 64]))
+@settings(max_examples=200, deadline=None)
+def test_phrases_are_longest_matches_whatever_has_a_column(training, text, dense):
+    table = language_id.LanguageTable("x", np.array([ord(c) for c in training], np.uint32), dense)
+    blocks = np.array([[ord(c)] * 2 for c in text], np.uint32)
+    assert table.phrases(blocks, np.full(len(text), 2)).tolist() == [naive_phrases(training, text)] * 2
+
+
+def test_large_alphabets_and_letters_beyond_the_basic_plane():
+    r = random.Random(3)
+    text = lambda start: "".join(chr(start + i) for _ in range(60) for i in r.sample(range(2000), 20))
+    texts = {"a": prose(500, 1), "zh": text(0x4E00), "zx": text(0x20000), "zy": text(0x21000)}
+    tables = [language_id.LanguageTable(k, language_id.symbols([t])[0], 64) for k, t in texts.items()]
+    bits, _ = language_id.parse(tables, [texts["zh"][200:208], texts["zx"][100:108], texts["zy"][50:58], texts["a"][10:40]])
+    assert bits.argmin(axis=1).tolist() == [1, 2, 3, 0]
+    assert [(row == row.min()).sum() for row in bits] == [1] * 4
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, "".join(chr(0x4E00 + 20 * i + j) for j in range(20)) * 2, f"l{i}", None, None) for i in range(70)]
+    tables = language_id.train(frame(spark, rows))
+    assert len(tables) == 70
+    got = language_id.identify(frame(spark, rows), tables).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id']}" for r in got)
+
+
 def test_symbols():
     flat, n = language_id.symbols(["Ab, c!", "", "12 3", "é𝒜x"])
     assert n.tolist() == [5, 0, 0, 3]

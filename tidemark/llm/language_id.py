@@ -7,9 +7,11 @@ language with the lowest wins.
 
 The automaton is laid out as a dense table whose missing transitions restart at
 the root and count a phrase, so that parsing is one table lookup per symbol;
-numpy walks thousands of blocks of text in step.  The labelled text is a bounded
-sample (``train_symbols`` per language, at most ``max_langs`` languages), so the
-tables have a fixed bound and are broadcast.  All texts are parsed whole.
+numpy walks thousands of blocks of text in step.  Only the most frequent symbols
+of a language have columns there; transitions of all others are looked up in a
+sorted list.  The labelled text is a bounded sample (``train_symbols`` per
+language), so the tables grow with the number of languages only and are
+broadcast.  All texts are parsed whole.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from .common import bound_batches, share, table
 #: Symbols of a text that are parsed as one block; blocks are parsed side by side.
 BLOCK = 1024
 SPACE = 32
+#: Cells of the dense tables of all languages together; more languages have fewer dense columns each.
+CELLS = 1 << 27
 
 
 def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
@@ -60,32 +64,52 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 
 class LanguageTable:
-    """The dense table of one language: entry = (next state's row << 1) | 1 if a phrase starts with this symbol."""
+    """The table of one language: entry = (next state's row << 1) | 1 if a phrase starts with this symbol.
 
-    def __init__(self, lang: str, symbols: np.ndarray, max_alphabet: int):
+    The ``dense - 1`` most frequent symbols have columns; other transitions are in ``keys`` (state and code, ascending) and ``entries``."""
+
+    def __init__(self, lang: str, symbols: np.ndarray, dense: int):
         self.lang, self.size = lang, max(2, len(symbols))
-        known = [c for c, _ in Counter(symbols.tolist()).most_common(max_alphabet - 1)]
-        self.k = len(known) + 1
-        self.code = np.zeros(0x10000, np.uint8)  # 0: any other symbol, never part of a phrase
-        self.code[known] = np.arange(1, self.k)
+        known = [c for c, _ in Counter(symbols.tolist()).most_common()]
+        self.n = len(known) + 1
+        self.k = min(self.n, max(1, dense))
+        self.code = np.zeros(max(known, default=0) + 2, np.min_scalar_type(self.n))  # 0: a symbol that the labelled text doesn't have; the last: any beyond
+        self.code[known] = np.arange(1, self.n)
         to = suffix_automaton(self.code[symbols].tolist())
-        root = np.ones(self.k, np.int32)
+        root = np.ones(self.n, np.int32)
         for c, s in to[0].items():
             root[c] = (s * self.k) << 1 | 1
-        root[0] = 1
-        table = np.tile(root, (len(to), 1))
+        table, sparse = np.tile(root[: self.k], (len(to), 1)), {}
         for s, out in enumerate(to[1:], 1):
             for c, t in out.items():
-                if c:
+                if c < self.k:
                     table[s, c] = (t * self.k) << 1
-        self.table = table.ravel()
+                else:
+                    sparse[s * self.n + c] = (t * self.k) << 1
+        self.table, self.root = table.ravel(), root
+        self.keys = np.array([*sorted(sparse), np.iinfo(np.int64).max], np.int64)
+        self.entries = np.array([*(sparse[x] for x in self.keys[:-1].tolist()), 0], np.int32)
+
+    def _sparse(self, at: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Entries for symbols without a column."""
+        key = at.astype(np.int64) // self.k * self.n + code
+        found = np.searchsorted(self.keys, key)
+        return np.where(self.keys[found] == key, self.entries[found], self.root[code])
 
     def phrases(self, blocks: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each column of ``blocks`` (symbols by step); the first ``active[t]`` columns are still going at step t."""
         at, n = np.zeros(blocks.shape[1], np.int32), np.zeros(blocks.shape[1], np.int32)
-        coded = self.code[blocks]
+        coded = self.code[np.minimum(blocks, len(self.code) - 1)]
+        row, column = np.nonzero(coded >= self.k)
+        rare = coded[row, column].astype(np.int64)
+        coded[row, column] = 0
+        cuts = np.searchsorted(row, np.arange(len(coded) + 1)).tolist()
         for t, m in enumerate(active.tolist()):
             step = self.table.take(at[:m] + coded[t, :m])
+            if cuts[t] < cuts[t + 1]:
+                c, r = column[cuts[t] : cuts[t + 1]], rare[cuts[t] : cuts[t + 1]]
+                c, r = c[c < m], r[c < m]
+                step[c] = self._sparse(at[c], r)
             n[:m] += step & 1
             at[:m] = step >> 1
         return n
@@ -97,8 +121,7 @@ _LETTER = None
 def _letters() -> np.ndarray:
     global _LETTER
     if _LETTER is None:
-        _LETTER = np.array([chr(i).isalpha() for i in range(0x10000)])
-        _LETTER[0xFFFF] = True  # stands for every letter beyond the basic plane
+        _LETTER = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
     return _LETTER
 
 
@@ -106,12 +129,7 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased letters with runs of anything else as one space, concatenated; and the symbols per text (0: no letters)."""
     low = [x.lower() for x in texts]
     code = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32)
-    far = code > 0xFFFE
-    if far.any():
-        code = code.copy()
-        code[far] = [0xFFFF if chr(c).isalpha() else SPACE for c in code[far].tolist()]
     ends = np.cumsum([len(x) for x in low])
-    code = code.astype(np.uint16)
     letter = _letters()[code]
     starts = np.zeros(len(code), bool)
     starts[np.concatenate([[0], ends[:-1]]).astype(np.int64).clip(max=max(0, len(code) - 1))] = True
@@ -122,7 +140,7 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     n = before[ends] - before[first]
     n[lettered[ends] == lettered[first]] = 0
-    return np.where(letter, code, SPACE).astype(np.uint16)[keep], n
+    return np.where(letter, code, SPACE).astype(np.uint32)[keep], n
 
 
 def parse(tables: list[LanguageTable], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +158,7 @@ def parse(tables: list[LanguageTable], texts: list[str]) -> tuple[np.ndarray, np
     order = np.argsort(-size, kind="stable")
     owner, begin, size = owner[order], begin[order], size[order]
     active = np.searchsorted(-size, -np.arange(size[0]), side="left") if len(size) else np.zeros(0, int)
-    padded = np.concatenate([flat, np.zeros(BLOCK, np.uint16)])
+    padded = np.concatenate([flat, np.zeros(BLOCK, np.uint32)])
     blocks = padded[begin[None, :] + np.arange(size[0])[:, None]]
     for k, t in enumerate(tables):
         phrases = np.bincount(owner, t.phrases(blocks, active), minlength=len(texts))
@@ -148,11 +166,12 @@ def parse(tables: list[LanguageTable], texts: list[str]) -> tuple[np.ndarray, np
     return bits, n
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_symbols: int = 40_000, max_langs: int = 64, max_alphabet: int = 64) -> list[LanguageTable]:
-    """Tables from a bounded sample of ``labelled``: for each of the ``max_langs`` most frequent labels, texts in the
-    order of a hash of the id until ``train_symbols`` symbols are together.  Null labels and texts are left out."""
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_symbols: int = 40_000, dense: int = 64) -> list[LanguageTable]:
+    """Tables from a bounded sample of ``labelled``: for each label, texts in the order of a hash of the id until
+    ``train_symbols`` symbols are together, whatever their alphabet.  At most ``dense`` symbols of a language have a
+    column of its table, which is a matter of speed only.  Null labels and texts are left out."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.lit("train")), F.lit(1 << 30)).alias("h")).filter("lang IS NOT NULL AND length(text) > 0")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars")).orderBy(F.desc("docs"), "lang").limit(max_langs).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars")).orderBy(F.desc("docs"), "lang").collect()  # one row per label
     if not counts:
         return []
     take = {r["lang"]: min(1.0, max(3 * train_symbols / r["chars"], 50 / r["docs"])) for r in counts}  # about three times what is needed
@@ -161,11 +180,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     texts: dict[str, list] = {}
     for r in sorted(sample.collect()):
         texts.setdefault(r["lang"], []).append(r["text"])
-    tables = []
+    tables, dense = [], max(2, min(dense, CELLS // (2 * train_symbols * len(take))))
     for lang, found in texts.items():
         flat, n = symbols(list(dict.fromkeys(found)))
         if len(flat) and n.any():
-            tables.append(LanguageTable(lang, flat[:train_symbols], max_alphabet))
+            tables.append(LanguageTable(lang, flat[:train_symbols], dense))
     return tables
 
 
