@@ -78,7 +78,44 @@ def test_depth_is_shortened_until_the_recall():
     assert J.forest_depth(0.99, 16, 7, 0.9) == 7
 
 
+def test_prefixes_in_dense_tries_are_shortened_until_the_recall():
+    ask = lambda depths: J.ask_depth(16 - len(depths), depths, 4, 7, 0.8, 0.999)
+    assert ask([]) == ask([0]) == ask([0, 0]) == 0  # the other tries suffice
+    assert ask([0] * 16) == 4 and ask([0] * 8) == 5 and ask([7] * 16) == 4 and ask([0] * 4) in (6, 7)
+    for depths in ([0] * 3, [5, 0, 0], [7] * 9, [5] * 16):
+        d = ask(depths)
+        met = [4] * (16 - len(depths)) + [min(x or 9, d or 9) for x in depths]
+        assert np.prod([1 - 0.8**x if x < 9 else 1 for x in met]) <= 0.001
+
+
 def test_forest_edges_are_few():
-    sketch = np.zeros((50, 112), np.uint8)
-    edges, todo = J.canopy(sketch, np.zeros(50, bool), 0.5)
-    assert len(edges) == 49 and not todo.any()
+    sketch = np.zeros((50, 112), np.uint16)
+    pilots = np.zeros(50, bool)
+    pilots[:3] = True
+    edges, todo = J.canopy(sketch, pilots, 0.5)
+    assert len(edges) == 49 and not todo.any() and len(J.near(sketch, 0.3)) == 49
+    sketch[25:] = 1
+    assert len(J.near(sketch, 0.3)) == 48
+
+
+@pytest.mark.parametrize("size", [600, 1200, 2400, 4800])
+def test_edges_of_a_group_grow_with_its_texts(size):
+    """Blocks and pairs of blocks of texts that all resemble each other."""
+    blocks = [range(i, min(i + 512, size)) for i in range(0, size, 512)]
+    total, links = 0, 0
+    for i, x in enumerate(blocks):
+        for y in blocks[i:]:
+            rows = sorted({*x, *y})
+            linked = ~np.eye(len(rows), dtype=bool)
+            n, edges = J.block_edges(linked, np.array([r in x for r in rows]))
+            total, links = total + len(edges), links + int(n.sum())
+    assert links == size * (size - 1) and total <= 1.2 * size
+
+
+def test_a_dense_group_of_near_copies(spark):
+    """A third of the texts differ in a word each: all pairs are links, and all tries are dense."""
+    base = prose(200, 3).split()
+    rows = [(i, " ".join([*base[: i % 190], f"word{i}", *base[i % 190 + 1 :]]), None, None, None) for i in range(900)]
+    rows += [(1000 + i, prose(40, 500 + i), None, None, None) for i in range(1800)]
+    got = J.ngram_join(frame(spark, rows), cap=64, block_docs=100).filter("doc_id < 1000").collect()
+    assert {(r["class_id"], r["class_size"], r["n_links"]) for r in got} == {(0, 900, 899)} and len(got) == 900

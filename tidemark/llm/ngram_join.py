@@ -2,17 +2,24 @@
 
 1. Texts with the same words are one class (a copy group); only its smallest id
    takes part in what follows, so copies are never expanded into pairs.
-2. Each of ``trees`` prefix tries holds the signatures in sorted order.  The
-   prefix that must match starts at ``max_depth`` values and is shortened until
-   a pair at the threshold meets in some trie with probability ``recall``.
-3. Members of a trie node are compared by sketch with leaders only: a member
-   within ``NEAR`` of a leader needs no leader of its own, since by the triangle
-   inequality whatever resembles it lies within ``NEAR`` + the threshold's
-   distance of that leader, and that is linked to the leader too.  Nodes above
-   ``cap`` members are dealt into blocks that share pilot leaders; members far
-   from all pilots go through further rounds until none is left over.
+2. Each of ``trees`` prefix tries holds the signatures as (tree, prefix), sorted
+   by the shuffle; a trie node is a run of texts with the same prefix.
+   ``base_depth`` is the longest prefix at which a pair at the threshold meets
+   in some trie with probability ``recall``.  Where a node of that depth is
+   dense (more than ``cap`` texts), its texts go on with the longest prefix,
+   ``max_depth`` values, and each text shortens it only until its own recall,
+   ``1 - prod(1 - threshold ** depth)`` over all tries, reaches the target.  A text
+   whose other tries suffice never looks into a dense node.
+3. Members of a node are compared by sketch and linked by a spanning forest.
+   Nodes above ``cap`` members are dealt into blocks that share pilot leaders: a
+   member within ``NEAR`` of a pilot needs no leader of its own, since by the
+   triangle inequality whatever resembles it lies within ``NEAR`` + the
+   threshold's distance of that pilot, and that is linked to the pilot too;
+   members far from all pilots go through further rounds until none is left over.
 4. Connected candidates are verified exactly on their whole shingle sets, in
-   blocks; a component of many blocks is compared block by block.
+   blocks; a component of many blocks is compared block by block.  A block
+   gives a spanning forest, a pair of blocks a forest over the parts that the
+   two already form, so that edges grow with the texts and not with the pairs.
 """
 
 from __future__ import annotations
@@ -23,15 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import _batches
 from .common import bound_batches, components, discard, materialize, release, table
 
-#: Sketch distances: of a leader's own members, and the noise allowed on top of the threshold's distance (three sigma of 112 values).
-NEAR, NOISE = 0.25, 0.12
-MEMO = 400_000
+#: Sketch distances: of a pilot's own members, and the noise allowed on top of the threshold's distance (four sigma of 112 values).
+NEAR, NOISE = 0.25, 0.16
+#: Words remembered by one worker; longer ones are hashed each time.
+MEMO, MEMO_CHARS = 400_000, 64
+#: Bytes of a signature's value; chance equality of 1 in 65,536 adds a candidate at most.
+VALUE = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,9 +57,11 @@ class Shingler:
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
+        long = {}
         for w in set(words).difference(memo):
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)), hashlib.md5(" ".join(words).encode()).digest()
+            (memo if len(w) <= MEMO_CHARS else long)[w] = xxhash.xxh3_64_intdigest(w)
+        get = (lambda w: memo[w] if len(w) <= MEMO_CHARS else long[w]) if long else memo.__getitem__
+        return np.fromiter(map(get, words), np.uint64, len(words)), hashlib.md5(" ".join(words).encode()).digest()
 
     def shingles(self, words: np.ndarray) -> np.ndarray:
         """One hash per shingle, repeats included; a text with fewer words than a shingle is one shingle."""
@@ -76,7 +88,22 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for at in range(0, len(shingles), 2048):
         part = shingles[at : at + 2048]
         np.minimum(out, (part[None, :] * a[:, None] + b[:, None]).min(axis=1), out=out)
-    return out >> np.uint64(24)
+    return (out >> np.uint64(24)).astype(">u2")
+
+
+def ask_depth(open_trees: int, depths: list[int], base_depth: int, max_depth: int, threshold: float, recall: float) -> int:
+    """How far a text shortens its prefixes in dense tries: 0 if not at all.
+
+    In ``open_trees`` tries it has met all at ``base_depth``, in others at ``depths`` below dense nodes; the rest are dense throughout.
+    The longest prefix that reaches ``recall`` when it is met in every dense trie."""
+    for depth in [0, *range(max_depth, base_depth, -1)]:
+        miss = (1 - threshold**base_depth) ** open_trees
+        for d in depths:
+            d = min(d, depth) if depth and d else d or depth
+            miss *= 1 - threshold**d if d else 1
+        if miss <= 1 - recall:
+            return depth
+    return base_depth
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -103,29 +130,42 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 def _sketches(column: pa.ChunkedArray) -> np.ndarray:
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    return np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), -1)
+
+
+def near(sketch: np.ndarray, reach: float) -> list[tuple[int, int]]:
+    """A spanning forest of the rows within ``reach`` of each other."""
+    edges, left = [], np.arange(len(sketch))
+    front: list[int] = []
+    while len(left):
+        if not front:
+            front, left = [int(left[0])], left[1:]
+            continue
+        i = front.pop()
+        close = (sketch[left] != sketch[i]).mean(axis=1) <= reach
+        edges += [(i, j) for j in left[close].tolist()]
+        front += left[close].tolist()
+        left = left[~close]
+    return edges
 
 
 def canopy(sketch: np.ndarray, pilots: np.ndarray, reach: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """A forest over what leaders link within ``reach``; with pilots, only they lead and the members far from all are returned.
+    """A forest over what pilots link within ``reach``, and the members far from all pilots.
 
-    A member joins the forest by one edge at most, however many leaders it resembles."""
+    A member joins the forest by one edge at most, however many pilots it resembles."""
     edges, todo, label = [], np.ones(len(sketch), bool), np.arange(len(sketch))
-    piloted = pilots.any()
-    for i in (np.nonzero(pilots)[0] if piloted else np.arange(len(sketch))).tolist():
-        if not todo[i] and not piloted:
-            continue
+    for i in np.nonzero(pilots)[0].tolist():
         d = (sketch != sketch[i]).mean(axis=1)
-        near = np.nonzero((d <= reach) & (label != label[i]))[0]
-        labels, first = np.unique(label[near], return_index=True)
-        edges += [(i, int(near[j])) for j in first]
+        close = np.nonzero((d <= reach) & (label != label[i]))[0]
+        labels, first = np.unique(label[close], return_index=True)
+        edges += [(i, int(close[j])) for j in first]
         label[np.isin(label, labels)] = label[i]
         todo &= d > NEAR
     return edges, todo
 
 
-def _verify(sets: list[np.ndarray], left: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs are linked; where ``left`` differs within the group, only pairs of different sides count."""
+def _verify(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs are linked."""
     g = len(sets)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(g), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
@@ -144,8 +184,6 @@ def _verify(sets: list[np.ndarray], left: np.ndarray, threshold: float) -> np.nd
     size = np.array([len(s) for s in sets], np.float32)
     linked = (inter > 0) & (inter >= threshold * (size[:, None] + size[None, :] - inter) - 1e-3)
     np.fill_diagonal(linked, False)
-    if left.any() and not left.all():
-        linked &= left[:, None] != left[None, :]
     return linked
 
 
@@ -165,6 +203,30 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def _parts(n: int, edges: list[tuple[int, int]]) -> np.ndarray:
+    """The root of each of ``n`` rows under a forest of (root, member)."""
+    root = np.arange(n)
+    for r, j in edges:
+        root[j] = r
+    return root
+
+
+def block_edges(linked: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links per row that this cell counts, and its edges.
+
+    A block by itself (all ``left``) counts all links and gives a spanning forest.  A pair of blocks counts the links
+    across; its edges join the parts that each block forms by itself, which the blocks' own cells give the forests of."""
+    if left.all():
+        return linked.sum(axis=1), _forest(linked)
+    across = linked & (left[:, None] != left[None, :])
+    root = _parts(len(left), _forest(linked & (left[:, None] == left[None, :])))
+    heads, of = np.unique(root, return_inverse=True)
+    joined = np.zeros((len(heads), len(heads)), bool)
+    x, y = np.nonzero(across)
+    joined[of[x], of[y]] = True
+    return across.sum(axis=1), [(int(heads[p]), int(heads[q])) for p, q in _forest(joined)]
+
+
 def ngram_join(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -185,48 +247,80 @@ def ngram_join(
     number; ``n_links`` counts the other copy groups at Jaccard similarity of at
     least ``threshold``; ``class_id`` is the smallest id that links connect.
     Links are exact on what is found; a pair at the threshold is found with
-    probability ``recall`` or more.  Texts without words (null, empty) are
+    probability ``recall`` or more.  Ids are integers.  Texts without words (null, empty) are
     copies of each other and have no links.  Rows repeating an id are rows of
     their own; a null id is never the smallest; an empty table gives no rows.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    depth = forest_depth(threshold, trees, max_depth, recall)
+    base_depth = forest_depth(threshold, trees, max_depth, recall)
     rng = np.random.default_rng(20_240_517)
     a = rng.integers(0, 1 << 63, trees * max_depth, np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 63, trees * max_depth, np.uint64)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
             for texts, ids in _batches(batch.column(1), batch.column(0)):
-                copy, size, keys, sketch = [], [], [], []
+                copy, size, sign = [], [], []
                 for text in texts:
                     words, whole = shingler.words(text)
                     copy.append(whole)
                     size.append(len(words))
                     if not len(words):
-                        keys.append(None)
-                        sketch.append(None)
+                        sign.append(None)
                         continue
-                    s = signature(shingler.shingles(words), a, b)
-                    tree = s.reshape(trees, max_depth)
-                    keys.append([xxhash.xxh3_64_intdigest(tree[t, :depth].tobytes(), seed=t) - (1 << 63) for t in range(trees)])
-                    sketch.append(s.astype(np.uint8).tobytes())
-                columns = [ids, pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "words", "keys", "sketch"])
-
-    signed = materialize(rows.mapInArrow(sign, "doc_id long, copy binary, words long, keys array<long>, sketch binary"), "forest-signed")
+                    sign.append(signature(shingler.shingles(words), a, b).tobytes())
+                columns = [ids, pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(sign, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "words", "sign"])
+
+    signed = materialize(rows.mapInArrow(sign_texts, "doc_id long, copy binary, words long, sign binary"), "forest-signed")
     copies = materialize(signed.groupBy("copy").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies")), "forest-copies")
-    lead = signed.join(copies, (signed["copy"] == copies["copy"]) & signed["doc_id"].eqNullSafe(copies["copy_id"])).select(signed["copy"].alias("node"), "doc_id", "words", "keys", "sketch")
+    lead = signed.join(copies, (signed["copy"] == copies["copy"]) & signed["doc_id"].eqNullSafe(copies["copy_id"])).select(signed["copy"].alias("node"), "doc_id", "words", "sign")
     nodes = materialize(lead.dropDuplicates(["node"]).filter("words > 0"), "forest-nodes")
 
-    # Trie nodes with two members or more.
-    met = nodes.select("node", F.explode("keys").alias("key"))  # a key holds its tree
-    often = met.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    waiting = materialize(met.join(often, "key"), "forest-met")
-    reach = NEAR + (1 - threshold) + NOISE
+    # The tries: (tree, prefix) of each text; a key is a node of one trie at one depth.
+    def key(depth: int) -> Column:
+        return F.xxhash64("tree", F.substring("prefix", 1, VALUE * depth))
+
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    prefix = F.expr(f"substring(sign, tree * {VALUE * max_depth} + 1, {VALUE * max_depth})").alias("prefix")
+    leaves = nodes.select("node", "sign", tree).select("node", "tree", prefix)
+
+    def met(at: DataFrame, depth: int) -> DataFrame:
+        """Rows of ``at`` in nodes of this depth with two members or more, and the number of members."""
+        keyed = at.withColumn("key", key(depth))
+        return keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+
+    base = materialize(met(leaves, base_depth), "forest-met")
+    waiting = base.filter(F.col("n") <= cap).select("node", "key")
+    dense = materialize(base.filter(F.col("n") > cap).select("node", "tree", "prefix"), "forest-dense")
+    parts: list[DataFrame] = [base, dense]
+    if not dense.isEmpty():
+        # Longer prefixes below dense nodes: the first that is not dense is met there.
+        rest, found_at = dense, None
+        for depth in range(base_depth + 1, max_depth + 1):
+            held = materialize(rest.withColumn("key", key(depth)).join(rest.groupBy(key(depth).alias("key")).agg(F.count("*").alias("n")), "key"), "forest-deeper")
+            parts.append(held)
+            waiting = waiting.union(held.filter((F.col("n") > 1) & (F.col("n") <= cap)).select("node", "key"))
+            open_at = held.filter(F.col("n") <= cap).select("node", F.lit(depth).alias("depth"))
+            found_at = open_at if found_at is None else found_at.union(open_at)
+            rest = held.filter(F.col("n") > cap).select("node", "tree", "prefix")
+        found_at = rest.select("node", F.lit(0).alias("depth")) if found_at is None else found_at.union(rest.select("node", F.lit(0).alias("depth")))
+        # Each text shortens its prefixes until its recall reaches the target: one row per text, of at most ``trees`` depths.
+        asks = F.udf(lambda depths: ask_depth(trees - len(depths), depths, base_depth, max_depth, threshold, recall), "int")
+        kinds = found_at.groupBy("node").agg(F.sort_array(F.collect_list("depth")).alias("depths"))
+        ask = kinds.groupBy("depths").agg(F.count("*").alias("n")).select("depths", asks("depths").alias("ask")).filter("ask > 0")
+        asked = materialize(dense.join(kinds, "node").join(ask, "depths").select("node", "tree", "prefix", "ask"), "forest-asked")
+        parts.append(asked)
+        for depth in [r["ask"] for r in asked.select("ask").distinct().collect()]:  # depths of a trie
+            opened = asked.filter(F.col("ask") == depth).select(key(depth).alias("key")).distinct()
+            waiting = waiting.union(dense.select("node", key(depth).alias("key")).join(opened, "key", "left_semi").select("node", "key"))
+    spread = waiting
+    waiting = materialize(spread.distinct() if len(parts) > 2 else spread, "forest-waiting")
+    discard(*parts)
+    reach = 1 - threshold + NOISE
     schema = "a binary, b binary, key long"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,11 +333,14 @@ def ngram_join(
 
         for g in _groups(batches, 2):
             node, pilot = g.column("node").to_pylist(), np.array(g.column("pilot").to_pylist(), bool)
-            links, todo = canopy(_sketches(g.column("sketch")), pilot, reach)
-            out += [(node[i], node[j], None) for i, j in links]
-            if pilot.any():
-                key = g.column("key")[0].as_py()
-                out += [(node[i], None, key) for i in np.nonzero(todo)[0].tolist()]
+            sketch = _sketches(g.column("sign"))
+            if not pilot.any():
+                out += [(node[i], node[j], None) for i, j in near(sketch, reach)]
+            else:
+                links, todo = canopy(sketch, pilot, NEAR + reach)
+                out += [(node[i], node[j], None) for i, j in links]
+                name = g.column("key")[0].as_py()
+                out += [(node[i], None, name) for i in np.nonzero(todo)[0].tolist()]
             if len(out) > 20_000:
                 yield flush()
         yield flush()
@@ -265,7 +362,7 @@ def ngram_join(
             led = first.select("key", "subs", F.explode("nodes").alias("node")).union(lone.select("key", "subs", "node")).distinct()
             led = led.select("key", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "node", F.lit(True).alias("pilot"))
             few = few.union(own).union(led)
-        dealt = few.join(nodes.select("node", "sketch"), "node").select("key", "sub", "node", "pilot", "sketch")
+        dealt = few.join(nodes.select("node", F.col("sign")), "node").select("key", "sub", "node", "pilot", "sign")
         found = materialize(dealt.repartition("key", "sub").sortWithinPartitions("key", "sub", "pilot", "node").mapInArrow(compare, schema), "forest-links")
         links = found.filter("b IS NOT NULL AND a <> b").select("a", "b")
         edges = links if edges is None else edges.union(links)
@@ -313,9 +410,8 @@ def ngram_join(
             left = np.array(side)
             if i != j and left.all() == left.any():  # one side only
                 continue
-            linked, names = _verify(sets, left, threshold), list(names)
-            links = linked.sum(axis=1)
-            edges = _forest(linked)
+            links, edges = block_edges(_verify(sets, threshold), left)
+            names = list(names)
             hit = np.nonzero(links)[0].tolist()
             first = [names[x] for x in hit] + [names[x] for x, _ in edges]
             second = [None] * len(hit) + [names[y] for _, y in edges]
