@@ -107,20 +107,53 @@ def vectors(spark, n=300, d=64, seed=0):
 def nearest(rows, queries, k):
     bits = [(i, np.array([x > 0 for x in v])) for i, v in rows if v and i is not None]
     out = []
-    for q, v in [(i, b) for i, b in bits if i in queries]:
+    for q, v in {(i, b.tobytes()): (i, b) for i, b in bits if i in queries}.values():  # a repeated query is one
         near = sorted((int((v != b).sum()), i) for i, b in bits if i != q and len(b) == len(v))[:k]
         out += [(q, n + 1, i, d) for n, (d, i) in enumerate(near)]
     return key(out)
 
 
-@pytest.mark.parametrize("params", [{}, {"row_block": 50, "query_block": 7}, {"segment_bits": 5}, {"segment_bits": 20, "k": 3}])
+@pytest.mark.parametrize("params", [{}, {"shard_rows": 50}, {"segment_bits": 5}, {"segment_bits": 20, "k": 3}, {"segment_bits": 8, "shard_rows": 20, "k": 1}])
 def test_topk(spark, params):
+    """Query 40 is there twice, and copies of one vector crowd their shards."""
     rows, df = vectors(spark)
-    got = hamming_topk.hamming_topk(df, df.filter("vec_id % 20 = 0 AND vec_id <> 40"), **params)
-    want = nearest(rows, {i for i, _ in rows if i is not None and i % 20 == 0 and i != 40}, params.get("k", 10))
+    got = hamming_topk.hamming_topk(df, df.filter("vec_id % 20 = 0"), **params)
+    want = nearest(rows, {i for i, _ in rows if i is not None and i % 20 == 0}, params.get("k", 10))
     assert key(got.collect()) == want
 
 
+def test_topk_of_an_id_with_several_codes(spark):
+    rows, df = vectors(spark, n=60)
+    more = spark.createDataFrame([(20, [-x for x in rows[20][1]], 1, "x")], df.schema)
+    got = hamming_topk.hamming_topk(df.union(more), df.union(more).filter("vec_id = 20"), k=4)
+    bits = lambda v: np.array([x > 0 for x in v])
+    want = []
+    for own in (rows[20][1], more.first()["embedding"]):
+        near = sorted((int((bits(v) != bits(own)).sum()), i) for i, v in rows if v and i not in (None, 20) and len(v) == 64)[:4]
+        want += [(20, n + 1, i, d) for n, (d, i) in enumerate(near)]
+    assert key(got.collect()) == key(want)
+
+
+def test_topk_sends_a_query_only_where_its_probes_lie(spark, monkeypatch):
+    """Near queries retire after the first radius; nothing is sent to all shards."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[20][1]) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent = []
+    write = hamming_topk.materialize
+
+    def noted(frame, tag):
+        out = write(frame, tag)
+        if tag == "topk-live":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(hamming_topk, "materialize", noted)
+    got = hamming_topk.hamming_topk(df, df.filter("vec_id = 20"), shard_rows=50)
+    assert [(r["neighbour_id"], r["distance"]) for r in got.orderBy("rank").collect()] == [(1000 + i, 0) for i in range(10)] and sent == [1, 0]
+
+
 def test_topk_other_widths(spark):
     rows, df = vectors(spark, n=80, d=100, seed=2)
     got = hamming_topk.hamming_topk(df, df.filter("vec_id = 7"), k=500)

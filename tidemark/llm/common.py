@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -20,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests)."""
+    """The folder that driver and executors share; one of our own only where the session names none and runs on this machine alone (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
         found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -33,17 +36,25 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at, files = _hadoop(spark, path)
+    files.deleteOnExit(at)  # what a result still reads stays until the driver ends
     out = spark.read.schema(df.schema).parquet(path)
     out.materialized_at = path
     return out
 
 
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete materialised steps of which all that was derived is written by now."""
     for df in frames:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.materialized_at)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        at, files = _hadoop(df.sparkSession, df.materialized_at)
+        files.delete(at, True)
+        files.cancelDeleteOnExit(at)
 
 
 def release(spark: SparkSession) -> None:
