@@ -129,6 +129,26 @@ def test_anchors_beyond_the_bits_of_a_position(monkeypatch, step):
     assert {p for d, p in at if d == 0 and p > 4000} and all(any((0, q) in at for q in range(p, p + 33)) for p in range(5000 - 63))
 
 
+def test_uniform_text_has_few_rows():
+    """Anchors at each byte or period become one run; the spans of a run overlap."""
+    texts = [b"a" * 5000, b"ab" * 3000, b"0123456789" * 700]
+    for t in texts:
+        doc, pos, h = S.text_anchors([t], 200)
+        c = np.frombuffer(b"".join(S.xxhash.xxh3_128_digest(t[max(0, p - 168) : p + 200], seed=min(p, 168)) for p in pos.tolist()), np.int64).reshape(-1, 2)
+        first, last = S.runs(doc, pos, c, 200)
+        assert len(pos) > 400 and len(first) < 400 and (last - first).max() > 100
+        for i, j in zip(first.tolist(), last.tolist(), strict=True):
+            assert (np.diff(pos[i : j + 1]) <= 200).all() and (c[i : j + 1] == c[i]).all()
+    assert [len(x) for x in S.runs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64), 200)] == [0, 0]
+
+
+def test_texts_of_low_entropy(spark):
+    rng = np.random.default_rng(2)
+    texts = ["a" * 5000, "ab" * 3000, "a" * 900 + "b" + "a" * 900, "0123456789" * 700, "".join(rng.choice(["ab", "ba"], 1500)), "x" * 199, "x" * 200, " " * 400 + "word" + " " * 450]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    assert spans(S.suffix_dedup(frame(spark, rows))) == suffixes(rows, 200)
+
+
 def test_repeats_beyond_16_mib(spark):
     rng = np.random.default_rng(8)
     long = rng.integers(97, 123, (1 << 24) + 5000).astype(np.uint8).tobytes().decode()

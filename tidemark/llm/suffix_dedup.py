@@ -7,7 +7,9 @@ suffix array is sparse, without losing a match:
    32-byte gram of smallest hash is an anchor.  Equal windows have their anchor
    at the same place, so only suffixes at anchors that occur twice matter.
 2. An anchor's context holds every window that can contain it.  Where two
-   anchors have equal contexts, all those windows repeat, and no bytes move.
+   anchors have equal contexts (equal 64-bit anchors and equal 128-bit hashes),
+   all those windows repeat, and no bytes move.  In uniform or periodic text
+   equal contexts follow each other; such a run is one row.
 3. What is left are the borders of repeats.  One holder of each different context
    sends its bytes; sampled splitters range-partition these suffixes by their
    leading tokens (the anchor gram), and each bucket sorts them by multikey
@@ -77,6 +79,16 @@ def anchors(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int
     return doc, at - starts[doc], h[at]
 
 
+def runs(doc: np.ndarray, pos: np.ndarray, c: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of successive anchors of a document with equal contexts at most ``length`` apart.
+
+    Uniform and periodic text has an anchor at each period; its spans overlap, so a run is one row."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (c[1:] != c[:-1]).any(axis=1) | (np.diff(pos) > length)
+    first = np.nonzero(new)[0]
+    return first, np.append(first[1:], len(doc)) - 1 if len(first) else first
+
+
 def _pieces(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
     first, size, held = 0, 0, []
     for i, t in enumerate(texts):
@@ -248,22 +260,25 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
             for first, _, texts in _pieces(batch.column(2)):
                 sizes = np.array([len(t) for t in texts], np.int64)
                 doc, pos, h = text_anchors(texts, length)
-                c = [xxhash.xxh3_64_intdigest(texts[d][max(0, p - back) : p + length], seed=min(p, back)) - (1 << 63) for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
-                d = doc.tolist()
-                columns = [[ids[first + x] for x in d], [keys[first + x] for x in d], sizes[doc], pos, h.view(np.int64), c]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc_id", "row", "n", "pos", "h", "c"])
-
-    found = materialize(docs.select("doc_id", "row", "text").filter(F.octet_length("text") >= length).mapInArrow(find, "doc_id long, row long, n long, pos long, h long, c long"), "suffix-anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("c1"), F.max("c").alias("c2")).filter("times > 1")
-    often = materialize(often.select("h", (F.col("c1") != F.col("c2")).alias("mixed")), "suffix-often")  # a join of its own, whose hot gram Spark can split
+                digests = [xxhash.xxh3_128_digest(texts[d][max(0, p - back) : p + length], seed=min(p, back)) for d, p in zip(doc.tolist(), pos.tolist(), strict=True)]
+                c = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                i, j = runs(doc, pos, c, length)
+                d = doc[i].tolist()
+                columns = [[ids[first + x] for x in d], [keys[first + x] for x in d], sizes[doc[i]], pos[i], pos[j], j - i + 1, h[i].view(np.int64), c[i, 0], c[i, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc_id", "row", "n", "pos", "last", "times", "h", "c", "c2"])
+
+    found = materialize(docs.select("doc_id", "row", "text").filter(F.octet_length("text") >= length).mapInArrow(find, "doc_id long, row long, n long, pos long, last long, times long, h long, c long, c2 long"), "suffix-anchors")
+    ends = [f(x).alias(f"{name}_{x}") for x in ("c", "c2") for name, f in (("low", F.min), ("top", F.max))]
+    often = found.groupBy("h").agg(F.sum("times").alias("times"), *ends).filter("times > 1")
+    often = materialize(often.select("h", F.expr("low_c <> top_c OR low_c2 <> top_c2").alias("mixed")), "suffix-often")  # a join of its own, whose hot gram Spark can split
     again = materialize(found.join(often, "h"), "suffix-again")
     release(spark)
     discard(found, often)
-    kinds = again.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "row", "n", "pos")).alias("at"))
+    kinds = again.filter("mixed").groupBy("h", "c", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "row", "n", "pos")).alias("at"))
     kinds = materialize(kinds, "suffix-kinds")
-    lone = kinds.filter("times = 1").select("h", "c")
-    whole = again.filter("NOT mixed").union(again.filter("mixed").join(lone, ["h", "c"], "left_anti").select(again.columns))
-    whole = whole.select("doc_id", "row", F.greatest(F.lit(0), F.col("pos") - back).alias("s"), (F.least("pos", F.col("n") - length) + length).alias("e"))
+    lone = kinds.filter("times = 1").select("h", "c", "c2")
+    whole = again.filter("NOT mixed").union(again.filter("mixed").join(lone, ["h", "c", "c2"], "left_anti").select(again.columns))
+    whole = whole.select("doc_id", "row", F.greatest(F.lit(0), F.col("pos") - back).alias("s"), (F.least("last", F.col("n") - length) + length).alias("e"))
     whole = materialize(whole, "suffix-whole")
     release(spark)
     discard(again)
