@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -298,16 +299,18 @@ def ngram_join(
     dense = materialize(base.filter(F.col("n") > cap).select("node", "tree", "prefix"), "forest-dense")
     parts: list[DataFrame] = [base, dense]
     if not dense.isEmpty():
-        # Longer prefixes below dense nodes: the first that is not dense is met there.
-        rest, found_at = dense, None
-        for depth in range(base_depth + 1, max_depth + 1):
-            held = materialize(rest.withColumn("key", key(depth)).join(rest.groupBy(key(depth).alias("key")).agg(F.count("*").alias("n")), "key"), "forest-deeper")
+        # Below dense nodes, from the longest prefix on: ``at`` is the shortest whose node is not dense (0: none is), ``had`` its members.
+        rest, settled = dense.withColumns({"at": F.lit(0), "had": F.lit(0).cast("long")}), []
+        for depth in range(max_depth, base_depth, -1):
+            count = dense.groupBy(key(depth).alias("key")).agg(F.count("*").alias("n"))
+            held = materialize(rest.withColumn("key", key(depth)).join(count, "key"), "forest-deeper")
             parts.append(held)
-            waiting = waiting.union(held.filter((F.col("n") > 1) & (F.col("n") <= cap)).select("node", "key"))
-            open_at = held.filter(F.col("n") <= cap).select("node", F.lit(depth).alias("depth"))
-            found_at = open_at if found_at is None else found_at.union(open_at)
-            rest = held.filter(F.col("n") > cap).select("node", "tree", "prefix")
-        found_at = rest.select("node", F.lit(0).alias("depth")) if found_at is None else found_at.union(rest.select("node", F.lit(0).alias("depth")))
+            settled.append((held.filter(F.col("n") > cap), depth + 1))
+            rest = held.filter(F.col("n") <= cap).select("node", "tree", "prefix", F.lit(depth).alias("at"), F.col("n").alias("had"))
+        settled.append((rest, base_depth + 1))
+        for rows_at, depth in settled:
+            waiting = waiting.union(rows_at.filter("had > 1").select("node", key(depth).alias("key")))
+        found_at = reduce(DataFrame.union, (rows_at.select("node", F.col("at").alias("depth")) for rows_at, _ in settled))
         # Each text shortens its prefixes until its recall reaches the target: one row per text, of at most ``trees`` depths.
         asks = F.udf(lambda depths: ask_depth(trees - len(depths), depths, base_depth, max_depth, threshold, recall), "int")
         kinds = found_at.groupBy("node").agg(F.sort_array(F.collect_list("depth")).alias("depths"))
