@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -214,12 +215,33 @@ def test_keys_after_an_equals_sign_are_found(spark):
 
 
 def test_length_matters():
-    null = secrets.Null([prose(2000, 1)])
+    null = secrets.Null({w: (n, 1) for w, n in Counter(secrets.WORD.findall(prose(2000, 1))).items()})
     r = random.Random(1)
     p = lambda n: np.median([null.p_value(secrets.battery(t, "base62", 62), "base62", n) for t in ("".join(r.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(n)) for _ in range(50))])
     assert p(64) < p(32) < p(16)
 
 
+def test_the_null_counts_words_of_all_whole_texts(spark, monkeypatch):
+    """Words far into a long text and in any row weigh as often as they occur."""
+    rows = [(i, f"{prose(50, i)} rare{'x' if i == 77 else 'y'}", None, None, None) for i in range(300)] + [(1000, "filler " * 40_000 + "atTheVeryEnd " * 500 + "token=abcdefgh xK3f9Q2mZ7pL4vB8nR1t", None, None, None), (1001, None, None, None, None)]
+    seen = []
+    made = secrets.Null
+    monkeypatch.setattr(secrets, "Null", lambda words: seen.append(words) or made(words))
+    secrets.scan_secrets(frame(spark, rows))
+    texts = [(t or "").replace("token=abcdefgh xK3f9Q2mZ7pL4vB8nR1t", "") for _, t, *_ in rows]  # a base span and a candidate
+    want = Counter(w for t in texts for w in re.findall("[a-z]{2,12}", t.lower()))
+    assert seen[0] == {w: (n, 1) for w, n in want.items()}
+
+
+def test_a_weighted_sample_stands_for_all_words(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1 + 100_000 // (i + 1)) for i in range(5000)], "word string, n long")
+    some, total = secrets.vocabulary(counts, 1000), counts.agg({"n": "sum"}).first()[0]
+    assert len(some) == 1000 and some == secrets.vocabulary(counts.repartition(7), 1000)
+    assert abs(sum(n for n, _ in some.values()) / total - 1) < 0.02 and some["w0"] == pytest.approx((100_001, 1), rel=0.01)
+    assert abs(sum(m for _, m in some.values()) / 5000 - 1) < 0.1
+    assert secrets.vocabulary(counts, 5000) == {r["word"]: (r["n"], 1) for r in counts.collect()}
+
+
 def test_thresholds_control_the_rate():
     assert secrets.thresholds([(0, 0, 1000), (0, 5, 10)], 0.01) == {}
     assert secrets.thresholds([(0, 0, 100), (0, 60, 50), (1, 0, 10)], 0.01) == {0: 60 - 60 + min(i for i in range(1, 61) if 10 ** (-i / 10) * 150 / 50 <= 0.01)}

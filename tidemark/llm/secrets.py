@@ -9,8 +9,10 @@ grow with length for structured ones.
 
 The null hypothesis is "structured".  For each form of structured token (joined
 words, CamelCase, snake_case, paths, word with number, repeated blocks) and each
-length, the mean and spread of each statistic are measured on tokens put together
-from a bounded sample of the corpus's own words.  A form's p-value combines its
+length, the median and lower spread of each statistic are measured on tokens put together
+from the corpus's own words, drawn as often as they occur and each alike: words
+are counted in all whole texts, outside candidates, while these are scanned, and a weighted sample of bounded size
+(priorities by a hash, so reruns agree) goes to the driver.  A form's p-value combines its
 three tests by Fisher's method, and a candidate's is the largest over the forms
 of its encoding.  Short tokens can't reject the null, as structured ones of that
 length look alike.  Benjamini-Hochberg then sets one threshold per length band,
@@ -21,15 +23,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from .bpe import _batches
-from .common import bound_batches, materialize, share, table
+from .common import bound_batches, discard, materialize, share, table
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -39,7 +44,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a run of [0-9a-f]+ is maximal, so this fin
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 LEN_GRID = (16, 20, 24, 32, 48, 64, 96, 128)
 BANDS = (20, 24, 32, 48, 80)
-BINS_PER_DECADE, BINS = 10, 200
+#: Bins of the histogram of p-values: so many to a factor of ten, from 1 down to 1e-20; a bin counts at its largest p-value.
+BINS_PER_DECADE, DECADES = 50, 20
 
 _LOWER, _UPPER, _DIGIT, _OTHER = range(4)
 _CLASS = np.full(128, _OTHER, np.int8)
@@ -48,8 +54,13 @@ _RANK = np.zeros(128, np.float64)
 for _i, _c in enumerate("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_="):
     _RANK[ord(_c)] = _i
 
-_SPAN = "struct<kind:string,start:long,end:long>"
-_FOUND = f"base array<{_SPAN}>, runs array<struct<encoding:string,start:long,end:long,band:int,bin:int>>"
+#: Words of the null's vocabulary, in lower-cased text.
+WORD = re.compile(r"[a-z]{2,12}")
+
+_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+_RUN = pa.struct([("encoding", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("tests", pa.list_(pa.float64()))])
+_JUDGED = pa.struct([("encoding", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("band", pa.int32()), ("bin", pa.int32())])
+_COUNT = pa.struct([("word", pa.string()), ("n", pa.int64())])
 
 
 def encoding(token: str) -> tuple[str, int]:
@@ -84,7 +95,8 @@ def battery(token: str, name: str, k: int) -> tuple[float, float, float]:
         return math.inf, math.inf, math.inf
     c = np.bincount(x, minlength=128).astype(float)
     chi = k / n * float((c * c).sum()) - n
-    z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * max(1 - 1 / n, 0.1))
+    spread = 2 / (9 * (k - 1)) * max(1 - 1 / n, 0.1)
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)  # the cube root is nearly normal, the sum itself is skewed
     cls = _CLASS[x]
     sizes = _SIZES.get(name, _SIZES_64)
     shares = [v / k for v in sizes.values()]
@@ -98,8 +110,7 @@ def battery(token: str, name: str, k: int) -> tuple[float, float, float]:
     return z_chi, abs(z_runs), abs(z_serial)
 
 
-def _forms(words: list[str], rng: np.random.Generator, n: int) -> dict[str, str]:
-    pick = lambda: words[rng.integers(len(words))]
+def _forms(pick: Callable[[], str], rng: np.random.Generator, n: int) -> dict[str, str]:
     number = lambda: str(rng.integers(10 ** rng.integers(1, 5)))
 
     def joined(part, sep: str) -> str:
@@ -122,23 +133,33 @@ def _forms(words: list[str], rng: np.random.Generator, n: int) -> dict[str, str]
     }
 
 
+def _low_side(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Median, and the spread below it from the lowest twentieth: only small values speak for randomness, and words of many repeats skew the other side."""
+    middle = np.median(v, axis=0)
+    return middle, np.maximum((middle - np.quantile(v, 0.05, axis=0)) / 1.645, 0.25)
+
+
 class Null:
-    """Mean and spread of S by form and length, from sample words."""
+    """Median and spread of the statistics by form and length, from words and their weights."""
 
-    def __init__(self, texts: list[str], draws: int = 250, seed: int = 7):
-        words = sorted({w.lower() for t in texts for w in re.findall(r"[A-Za-z]{2,12}", t)}) or ["the", "value"]
+    def __init__(self, words: dict[str, tuple[float, float]], draws: int = 250, seed: int = 7):
+        """``words``: for each, the occurrences and the different words it stands for.  Forms are made of either, common words and rare ones."""
+        names = sorted(words) or ["the", "value"]
+        weight = np.cumsum([words.get(w, (1.0, 1.0)) for w in names], axis=0)
         rng = np.random.default_rng(seed)
+        picks = [lambda w=w: names[int(np.searchsorted(w, rng.random() * w[-1], side="right"))] for w in weight.T]
         seen: dict[str, dict[str, list[list[tuple[float, ...]]]]] = {}
         for i, n in enumerate(LEN_GRID):
             for _ in range(draws):
-                for form, token in _forms(words, rng, n).items():
-                    name, k = encoding(token)
-                    if name:
-                        seen.setdefault(name, {}).setdefault(form, [[] for _ in LEN_GRID])[i].append(battery(token, name, k))
+                for j, pick in enumerate(picks):
+                    for form, token in _forms(pick, rng, n).items():
+                        name, k = encoding(token)
+                        if name:
+                            seen.setdefault(name, {}).setdefault(f"{form}{j}", [[] for _ in LEN_GRID])[i].append(battery(token, name, k))
         self.fits: dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for name, forms in seen.items():
             for per in forms.values():
-                ok = [(math.log(n), np.mean(v, axis=0), np.maximum(np.std(v, axis=0), 0.25)) for n, v in zip(LEN_GRID, per, strict=True) if len(v) >= 20]
+                ok = [(math.log(n), *_low_side(np.array(v))) for n, v in zip(LEN_GRID, per, strict=True) if len(v) >= 20]
                 if ok:
                     self.fits.setdefault(name, []).append(tuple(np.array(c) for c in zip(*ok, strict=True)))
 
@@ -165,7 +186,8 @@ def _mask(spans: list[tuple[int, int, str]], start: int, end: int) -> bool:
     return any(a < end and start < b for a, b, _ in spans)
 
 
-def run_spans(text: str, base: list[tuple[int, int, str]], null: Null) -> list[tuple[str, int, int, int, int]]:
+def run_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[str, int, int, tuple[float, ...]]]:
+    """Candidates clear of the base spans: encoding, start, end and the battery's three statistics."""
     out = []
     for m in RUN.finditer(text):
         token, n = m[0], m.end() - m.start()
@@ -173,59 +195,97 @@ def run_spans(text: str, base: list[tuple[int, int, str]], null: Null) -> list[t
             continue  # a word of one case: no encoding of keys
         name, k = encoding(token)
         if name and not _mask(base, m.start(), m.end()):
-            p = null.p_value(battery(token, name, k), name, n)
-            out.append((name, m.start(), m.end(), sum(n >= b for b in BANDS), min(BINS, int(-math.log10(p) * BINS_PER_DECADE))))
+            out.append((name, m.start(), m.end(), battery(token, name, k)))
     return out
 
 
-def thresholds(histogram: list[tuple[int, int, int]], q: float) -> dict[int, int]:
+def plain(text: str, base: list[tuple[int, int, str]], runs: list[dict]) -> str:
+    """The text without base spans and candidates, whose random letters are no vocabulary."""
+    if not base and not runs:
+        return text
+    out, at = [], 0
+    for s, e in sorted([(s, e) for s, e, _ in base] + [(r["start"], r["end"]) for r in runs]):
+        out.append(text[at : max(at, s)])
+        at = max(at, e)
+    return " ".join([*out, text[at:]])
+
+
+def judged(run: dict, null: Null) -> dict:
+    """A candidate with its length band and the bin of its p-value."""
+    n = run["end"] - run["start"]
+    p = null.p_value(tuple(run["tests"]), run["encoding"], n)
+    return {k: run[k] for k in ("encoding", "start", "end")} | {"band": sum(n >= b for b in BANDS), "bin": min(DECADES * BINS_PER_DECADE, int(-math.log10(p) * BINS_PER_DECADE))}
+
+
+def vocabulary(counts: DataFrame, words: int) -> dict[str, tuple[float, float]]:
+    """A sample of ``words`` words of ``counts(word, n)`` with weights that stand for all: those of lowest -ln(u) / n, u by a hash of the word.
+
+    A word is taken with probability 1 - exp(-n * t), t the priority of the first word left out, and stands for n occurrences and one word over that."""
+    u = (F.pmod(F.xxhash64("word", F.lit("null")), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
+    ranked = counts.withColumn("priority", -F.log(u) / F.col("n")).orderBy("priority", "word").limit(words + 1).collect()
+    t = ranked[words]["priority"] if len(ranked) > words else math.inf
+    taken = {r["word"]: (r["n"], -math.expm1(-r["n"] * t)) for r in ranked[:words]}
+    return {w: (n / p, 1 / p) for w, (n, p) in taken.items()}
+
+
+def thresholds(histogram: list[tuple[int, int, int]], q: float, per_decade: int = 10) -> dict[int, int]:
     """Benjamini-Hochberg by band from ``(band, bin, count)``: the lowest bin that may be reported.  A bin counts at its largest p-value."""
     out: dict[int, int] = {}
     for band in {b for b, _, _ in histogram}:
         counts = {i: c for b, i, c in histogram if b == band}
         total, above = sum(counts.values()), 0
-        for i in range(BINS, 0, -1):
+        for i in range(DECADES * per_decade, 0, -1):
             above += counts.get(i, 0)
-            if above and 10 ** (-i / BINS_PER_DECADE) * total / above <= q:
+            if above and 10 ** (-i / per_decade) * total / above <= q:
                 out[band] = i
     return out
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.01, sample_docs: int = 200, sample_chars: int = 4000) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.01, null_words: int = 20_000) -> DataFrame:
     """``<id_col>, base, random``: arrays of spans in code points, end exclusive; ``random`` holds spans clear of all base ones.
 
     ``q`` bounds the expected share of structured tokens among the added spans
-    of a length band.  The null is calibrated on at most about ``sample_docs``
-    texts of ``sample_chars`` code points.  Null text is empty; one row per
+    of a length band.  The null draws from ``null_words`` words, a weighted
+    sample of the counts over all texts.  Null text is empty; one row per
     input row, repeated rows too; an empty table gives no rows.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    part = min(1.0, sample_docs / max(1, rows.count()))
-    some = rows.filter(F.pmod(F.xxhash64(id_col, F.lit("secrets")), F.lit(1 << 30)) <= int(part * (1 << 30)))
-    texts = [r[0] or "" for r in some.select(F.substring("text", 1, sample_chars)).limit(4 * sample_docs).collect()]
-    shared = share(spark, Null(sorted(texts)))
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {_FOUND}"
+    head = rows.select(id_col).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        null = shared()
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for texts, keys in _batches(b.column(1), b.column(0)):
-                bases, runs = [], []
+                bases, runs, words = [], [], Counter()
                 for t in texts:
                     base = base_spans(t or "")
                     bases.append([{"kind": k, "start": s, "end": e} for s, e, k in base])
-                    runs.append([dict(zip(("encoding", "start", "end", "band", "bin"), x, strict=True)) for x in run_spans(t or "", base, null)])
-                span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-                found = pa.struct([("encoding", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("band", pa.int32()), ("bin", pa.int32())])
-                yield pa.RecordBatch.from_arrays([keys, pa.array(bases, pa.list_(span)), pa.array(runs, pa.list_(found))], names=[id_col, "base", "runs"])
+                    runs.append([dict(zip(("encoding", "start", "end", "tests"), x, strict=True)) for x in run_spans(t or "", base)])
+                    words.update(WORD.findall(plain(t or "", base, runs[-1]).lower()))
+                counted = [[{"word": w, "n": n} for w, n in words.items()], *[None] * (len(texts) - 1)]  # of the whole batch, in its first row
+                columns = [keys, pa.array(bases, pa.list_(_SPAN)), pa.array(runs, pa.list_(_RUN)), pa.array(counted[: len(texts)], pa.list_(_COUNT))]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "base", "runs", "words"])
+
+    def schema(**columns: pa.DataType) -> T.StructType:
+        return T.StructType([*head.fields, *(T.StructField(k, T.ArrayType(from_arrow_type(v))) for k, v in columns.items())])
+
+    found = materialize(rows.mapInArrow(scan, schema(base=_SPAN, runs=_RUN, words=_COUNT)), "secrets-found")
+    counts = found.select(F.explode("words").alias("w")).groupBy("w.word").agg(F.sum("w.n").alias("n"))
+    shared = share(spark, Null(vocabulary(counts, null_words)))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        null = shared()
+        for b in batches:
+            runs = [[judged(r, null) for r in found] for found in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(runs, pa.list_(_JUDGED))], names=[id_col, "base", "runs"])
 
-    scanned = materialize(rows.mapInArrow(run, schema), "secrets")
+    scanned = materialize(found.drop("words").mapInArrow(judge, schema(base=_SPAN, runs=_JUDGED)), "secrets")
+    discard(found)
     histogram = scanned.select(F.explode("runs").alias("r")).groupBy("r.band", "r.bin").count().collect()  # at most bands x bins rows
-    least = thresholds([tuple(r) for r in histogram], q)
+    least = thresholds([tuple(r) for r in histogram], q, BINS_PER_DECADE)
     bound = F.create_map(*[F.lit(x) for kv in least.items() for x in kv]) if least else None
-    keep = F.filter("runs", lambda r: r["bin"] >= F.coalesce(bound[r["band"]], F.lit(BINS + 1))) if least else F.filter("runs", lambda r: F.lit(False))
+    keep = F.filter("runs", lambda r: r["bin"] >= F.coalesce(bound[r["band"]], F.lit(DECADES * BINS_PER_DECADE + 1))) if least else F.filter("runs", lambda r: F.lit(False))
     span = lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"))
     return scanned.select(id_col, "base", F.transform(keep, span).alias("random"))
 
