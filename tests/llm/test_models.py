@@ -57,6 +57,13 @@ def test_the_memo_is_bounded(monkeypatch):
     assert t.decode(t.encode("w1 w99 w1")) == b"w1 w99 w1"
 
 
+def test_long_tokens_are_not_remembered():
+    t = bpe.Tokenizer(RANKS, public_tokenizers.PATTERN)
+    text = "x" * 5000 + " " + "ab" * 3000 + " word"
+    assert np.frombuffer(t.encode(text), "<u4").tolist() == REFERENCE.encode_ordinary(text)
+    assert max(map(len, t.memo)) <= bpe.MEMO_CHARS
+
+
 def test_bpe_operator(spark):
     got = bpe.bpe_encode(frame(spark), PATH, public_tokenizers.PATTERN).collect()
     want = [(d, np.array(REFERENCE.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for d, t, *_ in awkward()]
@@ -144,6 +151,55 @@ def test_language_operator(spark):
     assert {r["lang_pred"] for r in language_id.identify(frame(spark), []).collect()} == {"und"}
 
 
+def test_ids_play_no_part_in_training_and_null_ids_are_never_held_out(spark):
+    rows = [(None, prose(40, i), "en", "a", 1) for i in range(30)] + [(None, "".join(chr(0x4E00 + (i * 7 + j) % 500) for j in range(40)), "zh", "a", 1) for i in range(30)]
+    docs = frame(spark, rows)
+    assert {r[0] for r in docs.select(language_id.held_out()).collect()} == {False}
+    some = lambda tables: sorted((t.lang, t.size) for t in tables)
+    assert some(language_id.train(docs)) == some(language_id.train(frame(spark, [(i, *r[1:]) for i, r in enumerate(rows)])))
+    assert len(some(language_id.train(docs.filter(~language_id.held_out())))) == 2
+
+
+def test_a_text_that_is_most_of_a_language_is_learned_once(spark):
+    rows = [(i, "one text over and over ", "en", "a", 1) for i in range(3000)] + [(5000 + i, prose(30, i), "en", "a", 1) for i in range(20)]
+    (table,) = language_id.train(frame(spark, rows))
+    flat = sum(language_id.symbols([t])[1][0] for t in {r[1] for r in rows})
+    assert table.size == flat
+
+
+def test_ties_go_to_the_label_that_sorts_first(spark):
+    rows = [(i, "the very same words", lang, None, None) for i, lang in enumerate("cab")]
+    got = language_id.identify(frame(spark, rows), language_id.train(frame(spark, rows))).collect()
+    assert {(r["lang_pred"], r["score"]) for r in got} == {("a", 0.0)}
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    """Every prediction from longest matches in the labelled text, found by searching that text itself."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    some = docs.filter("length(text) < 4000")
+    learned = language_id.train(docs.filter(~language_id.held_out()), train_symbols=3000)
+    text_of, make = {}, language_id.LanguageTable
+    try:
+        language_id.LanguageTable = lambda lang, symbols, dense: text_of.setdefault(lang, "".join(map(chr, symbols))) and make(lang, symbols, dense)
+        language_id.train(docs.filter(~language_id.held_out()), train_symbols=3000)
+    finally:
+        language_id.LanguageTable = make
+    got = {r["doc_id"]: r for r in language_id.identify(some, learned).collect()}
+    assert len(got) == some.count() > 100
+    for r in some.collect():
+        flat, n = language_id.symbols([r["text"] or ""])
+        s = "".join(map(chr, flat))
+        if not n[0]:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        bits = {}
+        for lang, t in text_of.items():
+            parts = [s[i : i + language_id.BLOCK] for i in range(0, len(s), language_id.BLOCK)]
+            bits[lang] = sum(naive_phrases(t, p) for p in parts) * np.log2(len(t)) / len(s)
+        best = min(bits, key=lambda k: (bits[k], k))
+        assert got[r["doc_id"]]["lang_pred"] == best and got[r["doc_id"]]["bits"] == pytest.approx(bits[best])
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = language_id.op4_language_id(spark, "/root/testdata/sf0.01").join(docs, "doc_id").filter("held_out AND lang_pred <> 'und'").collect()

@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from .common import bound_batches, share, table
 
 _MASK = (1 << 64) - 1
-#: Pre-tokens remembered between batches by one worker.
-MEMO = 700_000
+#: Pre-tokens remembered between batches by one worker, and the longest that is.
+MEMO, MEMO_CHARS = 700_000, 48
 #: Text handled at once inside an Arrow batch, in code points.
 STEP = 2_000_000
 
@@ -150,6 +150,8 @@ class _Memo(dict):
         if (out := self.old.pop(token, None)) is None:
             ids = self.owner.piece(token.encode())
             out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(token) > MEMO_CHARS:
+            return out
         if len(self) >= MEMO // 2:
             self.old = dict(self)
             self.clear()

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,17 +166,23 @@ def parse(tables: list[LanguageTable], texts: list[str]) -> tuple[np.ndarray, np
     return bits, n
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_symbols: int = 40_000, dense: int = 64) -> list[LanguageTable]:
-    """Tables from a bounded sample of ``labelled``: for each label, texts in the order of a hash of the id until
-    ``train_symbols`` symbols are together, whatever their alphabet.  At most ``dense`` symbols of a language have a
-    column of its table, which is a matter of speed only.  Null labels and texts are left out."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.lit("train")), F.lit(1 << 30)).alias("h")).filter("lang IS NOT NULL AND length(text) > 0")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars")).orderBy(F.desc("docs"), "lang").collect()  # one row per label
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", train_symbols: int = 40_000, dense: int = 64) -> list[LanguageTable]:
+    """Tables from a bounded sample of ``labelled``: for each label, different texts in the order of a hash of the text
+    until ``train_symbols`` symbols are together, whatever their alphabet.  Ids play no part; copies count once, and a
+    label sends at most ``train_symbols`` texts of twice as many code points to the driver.  At most ``dense`` symbols of a
+    language have a column of its table, which is a matter of speed only.  Null labels and empty texts are left out."""
+    h = F.pmod(F.xxhash64(text_col, F.lit("train")), F.lit(1 << 30)).alias("h")
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), h).filter("lang IS NOT NULL AND length(text) > 0")
+    counts = rows.groupBy("lang", "h").agg(F.max(F.length("text")).alias("chars")).groupBy("lang").agg(F.count("*").alias("docs"), F.sum("chars").alias("chars"))
+    counts = counts.orderBy(F.desc("docs"), "lang").collect()  # one row per label
     if not counts:
         return []
     take = {r["lang"]: min(1.0, max(3 * train_symbols / r["chars"], 50 / r["docs"])) for r in counts}  # about three times what is needed
     limit = F.create_map(*[F.lit(x) for lang, part in take.items() for x in (lang, int(part * (1 << 30)) + 1)])
-    sample = rows.filter(F.col("h") < limit[F.col("lang")]).select("lang", "h", F.substring("text", 1, 2 * train_symbols).alias("text"))
+    few = rows.filter(F.col("h") < limit[F.col("lang")]).select("lang", "h", F.substring("text", 1, 2 * train_symbols).alias("text"))
+    few = few.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    sample = few.withColumn("place", place).filter(F.col("place") <= train_symbols).drop("place")
     texts: dict[str, list] = {}
     for r in sorted(sample.collect()):
         texts.setdefault(r["lang"], []).append(r["text"])
@@ -224,7 +230,8 @@ def identify(docs: DataFrame, tables: list[LanguageTable], id_col: str = "doc_id
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    """Whether a document is held out; one without an id never is."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
