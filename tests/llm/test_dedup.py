@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import awkward, documents, empty, frame, key
+from helpers import awkward, documents, empty, frame, key, prose
 from tidemark.llm import exact_dedup as X
 from tidemark.llm import line_dedup as L
 from tidemark.llm import suffix_dedup as S
@@ -191,6 +191,26 @@ def test_windows_whatever_the_group_size(few, large):
     assert (S.repeated_windows(m, lo, hi, group, 200, few, large) == want).all()
 
 
+def test_no_run_stays_behind_when_a_batch_fails(spark, monkeypatch):
+    merged = L.LineRuns._merged
+    monkeypatch.setattr(L.LineRuns, "_merged", lambda self, names: merged(self, names).selectExpr("h", "docs", "assert_true(docs < 0) IS NULL AS holder"))
+    rows = [(i, "\n".join([prose(12, i % 3), prose(12, 50 + i)]), None, None, None) for i in range(20)]
+    with pytest.raises(Exception, match="docs < 0"):
+        L.line_dedup(frame(spark, rows)).count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_steps_clean_up_their_shuffles_and_leave_the_session_alone(spark):
+    from tidemark.llm.common import materialize, swept
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with swept(spark):
+        assert spark.conf.get(key) == "true"
+    materialize(spark.range(10).groupBy("id").count(), "test")
+    assert spark.conf.get(key, None) == before
+
+
 def test_runs_are_joined_where_they_lie(spark, monkeypatch):
     """A batch is shuffled for itself only; the runs are read bucket by bucket."""
     plans, write = [], L.LineRuns._write

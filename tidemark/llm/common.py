@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +31,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Within this block Spark deletes a job's shuffle files when it ends, instead of at some later collection of the driver's garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with swept(spark):
+        df.write.parquet(path)
     at, files = _hadoop(spark, path)
     files.deleteOnExit(at)  # what a result still reads stays until the driver ends
     out = spark.read.schema(df.schema).parquet(path)
@@ -57,12 +70,6 @@ def discard(*frames: DataFrame) -> None:
         files.cancelDeleteOnExit(at)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete shuffle files of finished steps now instead of at some later driver GC."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def bound_batches(spark: SparkSession, size: str = "8m") -> None:
     """Arrow batches of about ``size`` bytes instead of the default 64 MB, unless the session has set its own bound.
 

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, release, table, width
+from .common import discard, materialize, swept, table, width
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,12 +32,19 @@ class LineRuns:
     def __init__(self, spark: SparkSession, buckets: int, fanout: int = 2):
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.levels: list[list[str]] = []
+        self.tables: set[str] = set()  # in the warehouse now, also if a write broke off
 
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
+        self.tables.add(name)
+        with swept(self.spark):
+            rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").saveAsTable(name)
         return name
 
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables.discard(name)
+
     def _merged(self, names: list[str]) -> DataFrame:
         """Runs merged by hash; two runs are joined bucket by bucket, in order, without a shuffle."""
         out = self.spark.table(names[0])
@@ -70,7 +77,7 @@ class LineRuns:
             full, self.levels[level] = self.levels[level], []
             merged = self._write(self._merged(full))
             for x in full:
-                self.spark.sql(f"DROP TABLE {x}")
+                self._drop(x)
             self._push(level + 1, merged)
 
     def state(self) -> DataFrame:
@@ -78,8 +85,8 @@ class LineRuns:
         return self._merged(self.runs())
 
     def close(self) -> None:
-        for x in self.runs():
-            self.spark.sql(f"DROP TABLE {x}")
+        for x in sorted(self.tables):
+            self._drop(x)
         self.levels = []
 
 
@@ -103,16 +110,17 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cuts = lines.agg(F.percentile_approx("doc_id", [i / batches for i in range(batches - 1, 0, -1)], 1000)).first()[0] if batches > 1 else []
     runs = LineRuns(spark, width(spark), fanout)
     tops = [None, *(cuts or [])]
-    for top, low in zip(tops, [*tops[1:], None], strict=True):
-        part = lines if low is None else lines.filter(F.col("doc_id") > low)
-        part = part if top is None else part.filter((F.col("doc_id") <= top) | F.col("doc_id").isNull()) if low is None else part.filter(F.col("doc_id") <= top)
-        runs.add(part.select("h", "doc_id"))
-    common = materialize(runs.state().filter(F.col("docs") >= min_docs).select("h", "holder"), "line-common")
-    runs.close()
+    try:
+        for top, low in zip(tops, [*tops[1:], None], strict=True):
+            part = lines if low is None else lines.filter(F.col("doc_id") > low)
+            part = part if top is None else part.filter((F.col("doc_id") <= top) | F.col("doc_id").isNull()) if low is None else part.filter(F.col("doc_id") <= top)
+            runs.add(part.select("h", "doc_id"))
+        common = materialize(runs.state().filter(F.col("docs") >= min_docs).select("h", "holder"), "line-common")
+    finally:
+        runs.close()
     drop = lines.join(common, "h").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
     drop = drop.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("pos")).alias("__drop"))
     drop = materialize(drop.select(F.col("doc_id").alias("__id"), F.col("row").alias("__other"), "__drop"), "line-drop")
-    release(spark)
     discard(lines, common)
     left = docs.withColumns({"__row": F.xxhash64(text), "__lines": F.split(text, "\n")})
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__other"))

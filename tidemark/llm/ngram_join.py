@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import _batches
-from .common import bound_batches, components, discard, materialize, release, table
+from .common import bound_batches, components, discard, materialize, table
 
 #: Sketch distances: of a pilot's own members, and the noise allowed on top of the threshold's distance (four sigma of 112 values).
 NEAR, NOISE = 0.25, 0.16
@@ -369,7 +369,6 @@ def ngram_join(
         found = materialize(dealt.repartition("key", "sub").sortWithinPartitions("key", "sub", "pilot", "node").mapInArrow(compare, schema), "forest-links")
         links = found.filter("b IS NOT NULL AND a <> b").select("a", "b")
         edges = links if edges is None else edges.union(links)
-        release(spark)
         spent.append(found)
         discard(waiting, large)
         waiting = found.filter("b IS NULL").select("key", F.col("a").alias("node")).distinct()
@@ -387,11 +386,9 @@ def ngram_join(
     some_id = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id")  # null ids join like any other; the node tells texts of one id apart
     member = member.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", some_id)
     member = materialize(member, "forest-members")
-    release(spark)
     discard(nodes)
     wanted = member.select("doc_id").distinct()
     texts = materialize(rows.select(some_id, "text").join(wanted, "doc_id", "left_semi"), "forest-texts")
-    release(spark)
     posed = member.join(texts, "doc_id").select("comp", "i", "j", "own", "node", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,7 +420,6 @@ def ngram_join(
 
     checked = posed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify, "a binary, b binary, links long")
     checked = materialize(checked, "forest-verified")
-    release(spark)
     discard(member, texts)
     degree = checked.filter("b IS NULL").groupBy(F.col("a").alias("copy")).agg(F.sum("links").alias("n_links"))
     joined = components(checked.filter("b IS NOT NULL").select("a", "b"), "forest-class").withColumnRenamed("id", "copy")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, discard, materialize, release, table, width
+from .common import bound_batches, discard, materialize, table, width
 from .ngram_join import _groups
 
 GRAM = 32
@@ -272,7 +272,6 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
     often = found.groupBy("h").agg(F.sum("times").alias("times"), *ends).filter("times > 1")
     often = materialize(often.select("h", F.expr("low_c <> top_c OR low_c2 <> top_c2").alias("mixed")), "suffix-often")  # a join of its own, whose hot gram Spark can split
     again = materialize(found.join(often, "h"), "suffix-again")
-    release(spark)
     discard(found, often)
     kinds = again.filter("mixed").groupBy("h", "c", "c2").agg(F.sum("times").alias("times"), F.min(F.struct("doc_id", "row", "n", "pos")).alias("at"))
     kinds = materialize(kinds, "suffix-kinds")
@@ -280,7 +279,6 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
     whole = again.filter("NOT mixed").union(again.filter("mixed").join(lone, ["h", "c", "c2"], "left_anti").select(again.columns))
     whole = whole.select("doc_id", "row", F.greatest(F.lit(0), F.col("pos") - back).alias("s"), (F.least("last", F.col("n") - length) + length).alias("e"))
     whole = materialize(whole, "suffix-whole")
-    release(spark)
     discard(again)
 
     # The bytes of one holder of each different context.
@@ -316,7 +314,6 @@ def repeated_spans(docs: DataFrame, length: int = 200, cap: int = 100_000) -> tu
     posed = docs.join(asked, ["doc_id", "row"]).select("doc_id", "row", "text", "asked")
     contexts = posed.mapInArrow(fetch, "lead binary, h long, times long, doc_id long, row long, pos long, lo long, hi long, ctx binary")
     contexts = materialize(contexts, "suffix-contexts")
-    release(spark)
     discard(asked)
     hot = materialize(contexts.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > cap).select("h"), "suffix-hot")
     spread = not hot.isEmpty()
@@ -380,7 +377,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = F.coalesce(F.col("doc_id"), F.lit(-1))  # null ids join like any other
     found = repeated_spans(rows.withColumn("doc_id", whole), length, cap)
     spans = materialize(found[0].union(found[1]).groupBy("doc_id", "row").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "suffix-spans")
-    release(docs.sparkSession)
     discard(*found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
