@@ -28,10 +28,11 @@ def _keyed(docs: DataFrame, tag: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without letters (``und``) go."""
+    """Documents in which a language is found, with that language as their ``lang``; those without letters (``und``) go."""
     tables = train(docs.filter(~held_out()))
     rows = docs.select("text", F.struct(*COLUMNS).alias("__doc"))  # whole rows pass through, none is looked up again
-    return identify(rows, tables, id_col="__doc").filter("lang_pred <> 'und'").select("__doc.*")
+    found = identify(rows, tables, id_col="__doc").filter("lang_pred <> 'und'")
+    return found.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"__doc.{c}") for c in COLUMNS])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
