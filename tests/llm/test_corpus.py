@@ -171,7 +171,12 @@ def test_stages_take_null_and_repeated_ids(spark, sf_dir):
     rows = [*awkward(), *repeated, *nulls, (50, "!!", "en", "a", 1)]
     docs = frame(spark, rows, clash=False)
     got = lambda stage: [tuple(r) for r in stage(spark, docs, sf_dir).collect()]
-    assert key(got(P.language_id)) == key(r for r in rows if any(c.isalpha() for c in r[1] or ""))
+    lang = lambda r: (r[:2], r[3:])  # noqa: E731  without the language
+    known = got(P.language_id)
+    assert key(map(lang, known)) == key(lang(r) for r in rows if any(c.isalpha() for c in r[1] or ""))
+    assert {r[2] for r in known} <= {"en", "de"} and all(r[2] == "en" for r in known if r[0] == 6)
+    none = [tuple(r) for _, stage in P.STAGES for r in stage(spark, docs.limit(0), sf_dir).collect()]
+    assert none == []
     kept, classes = got(P.drop_near_duplicates), defaultdict(list)
     for i, c, *_ in brute([(i, *r[1:]) for i, r in enumerate(rows)]):
         classes[c].append(rows[i])
@@ -203,7 +208,9 @@ def test_pipeline(spark, sf_dir, tmp_path):
             assert docs.columns == P.COLUMNS
     rows = lambda df: [tuple(r) for r in df.select("doc_id", "text", "lang", "source", "n_chars").collect()]
     a, b = map(rows, step["language_id"])
-    assert key(b) == key(r for r in a if any(c.isalpha() for c in r[1]))
+    assert key((d, t, s, n) for d, t, _, s, n in b) == key((d, t, s, n) for d, t, _, s, n in a if any(c.isalpha() for c in t))
+    told, given = {d: x for d, _, x, *_ in b}, {d: x for d, _, x, *_ in a}
+    assert np.mean([told[d] == given[d] for d in told if given[d]]) > 0.95
     a, b = map(rows, step["line_dedup"])
     assert key((d, t) for d, t, *_ in b) == key((d, t) for d, t, *_ in lines(a)) and all(len(t) == n for _, t, _, _, n in b)
     a, b = map(rows, step["ngram_jaccard_join"])
