@@ -1,6 +1,9 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
@@ -40,7 +43,9 @@ def test_decimal_and_varint_modes(spark):
     assert decoded(spark, "varint", F.lit("9223372036854775808")) == -(2**63)
     assert decoded(spark, "varint", F.lit("-1")) == -1
     assert decoded(spark, "varint", F.lit("7" * 39), varint_mode="STRING") == "7" * 39
-    assert decoded(spark, "varint", F.lit("12"), varint_mode="PRECISE") == 12
+    assert tuple(decoded(spark, "varint", F.lit("12"), varint_mode="PRECISE")) == (0, "12")
+    assert tuple(decoded(spark, "varint", F.lit("-" + "7" * 45), varint_mode="PRECISE")) == (0, "-" + "7" * 45)
+    assert decoded(spark, "varint", F.lit(None).cast("string")) is None
 
 
 def test_uuid(spark):
@@ -111,3 +116,25 @@ def test_registry(spark):
     assert t.key_type(TypeSystem()).simpleString() == "struct<a:int,b:string>"
     assert t.row_type(TypeSystem())["c"].dataType["value"].dataType.simpleString() == "array<int>"
     assert [c.name for c in t.non_key] == ["b", "c"]
+
+
+@given(st.lists(st.integers(-(2**200), 2**200) | st.sampled_from([0, -1, 2**63, -(2**63), 2**64, -(2**64), 2**31, 10**9, -(10**18)]), min_size=1, max_size=20))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_varints_of_any_length_give_their_low_64_bits(spark, numbers):
+    got = spark.createDataFrame([(i, str(n)) for i, n in enumerate(numbers)], "i int, t string").select("i", TypeSystem().decode("varint", F.col("t")).alias("v")).collect()
+    assert [r["v"] for r in sorted(got)] == [(n + 2**63) % 2**64 - 2**63 for n in numbers]
+
+
+@pytest.mark.parametrize("text", ["1.5E+5", "-1.5e-7", "0E+3", "12", "-0.050", "1E+20", "0.0", "123.456E2", "123.456E1", "5E-1", "-7E0", "100", "1" * 45 + ".25E-3"])
+def test_decimals_with_exponents(spark, text):
+    d = Decimal(text)
+    sign, digits, exponent = d.as_tuple()
+    assert tuple(decoded(spark, "decimal", F.lit(text), decimal_mode="PRECISE")) == (-exponent, ("-" if sign else "") + "".join(map(str, digits)))
+    assert Decimal(decoded(spark, "decimal", F.lit(text), decimal_mode="STRING")) == d
+    assert "E" not in decoded(spark, "decimal", F.lit(text), decimal_mode="STRING").upper()
+    assert decoded(spark, "decimal", F.lit(text)) == pytest.approx(float(text))
+
+
+def test_a_broken_integer_is_an_error(spark):
+    with pytest.raises(Exception, match="not an integer"):
+        decoded(spark, "varint", F.lit("12x"))

@@ -72,20 +72,59 @@ def duration_nanos(months: Column, days: Column, nanos: Column) -> Column:
 
 
 def decimal_parts(text: Column) -> Column:
-    """``{scale, value}`` of a plain decimal text: the unscaled value as text keeps any precision."""
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    scale = F.when(F.instr(text, ".") > 0, F.length(text) - F.instr(text, ".")).otherwise(0)
-    unscaled = F.concat(sign, F.regexp_replace(digits, "^0+(?=.)", ""))
-    return F.when(text.isNotNull(), F.struct(scale.cast("int").alias("scale"), unscaled.alias("value")))
+    """``{scale, value}`` of a decimal text, exponents included: the unscaled value as text keeps any precision, and the scale may be negative."""
+    body = F.regexp_extract(text, r"^[+-]?([0-9]*\.?[0-9]*)", 1)
+    exponent = F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    fraction = F.when(F.instr(body, ".") > 0, F.length(body) - F.instr(body, ".")).otherwise(0)
+    digits = F.regexp_replace(F.replace(body, F.lit("."), F.lit("")), "^0+(?=.)", "")
+    unscaled = F.concat(F.when(text.startswith("-"), "-").otherwise(""), digits)
+    return F.when(text.isNotNull(), F.struct((fraction - exponent).cast("int").alias("scale"), unscaled.alias("value")))
+
+
+def decimal_plain(text: Column) -> Column:
+    """A decimal text without exponent."""
+    parts = decimal_parts(text)
+    scale, digits = parts["scale"], F.regexp_replace(parts["value"], "^-", "")
+    sign = F.when(parts["value"].startswith("-"), "-").otherwise("")
+    whole = F.when(digits == "0", digits).otherwise(F.concat(digits, F.repeat(F.lit("0"), -scale)))
+    wide = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, F.greatest(scale, F.lit(0)) + 1, "0"))
+    point = F.length(wide) - scale
+    split = F.concat(F.substring(wide, F.lit(1), point), F.lit("."), F.substring(wide, point + 1, F.greatest(scale, F.lit(0))))
+    return F.when(text.isNotNull(), F.concat(sign, F.when(scale <= 0, whole).otherwise(split)))
 
 
 def varint_long(text: Column) -> Column:
-    """The low 64 bits, as a narrowing of any larger integer gives."""
-    wide = text.cast("decimal(38,0)")
-    low = F.pmod(wide, F.lit("18446744073709551616").cast("decimal(38,0)"))
-    signed = F.when(low >= F.lit("9223372036854775808").cast("decimal(38,0)"), low - F.lit("18446744073709551616").cast("decimal(38,0)")).otherwise(low)
-    return signed.cast("long")
+    """The low 64 bits of an integer of any length, as a narrowing gives them.
+
+    Nine digits at a time, in two halves of 32 bits, so that nothing overflows on the way."""
+    low32 = F.lit((1 << 32) - 1)
+    digits = F.regexp_replace(text, "^[+-]", "")
+    groups = F.ceil(F.length(digits) / 9).cast("int")
+    padded = F.lpad(digits, groups * 9, "0")
+    each = F.transform(F.sequence(F.lit(0), groups - 1), lambda i: F.substring(padded, i * 9 + 1, F.lit(9)).cast("long"))
+
+    def shifted(acc: Column, x: Column) -> Column:
+        low = acc["low"] * 1_000_000_000 + x
+        high = acc["high"] * 1_000_000_000 + F.shiftright(low, 32)
+        return F.struct(high.bitwiseAND(low32).alias("high"), low.bitwiseAND(low32).alias("low"))
+
+    def signed(acc: Column) -> Column:
+        zero = acc["low"] == 0
+        high = F.when(text.startswith("-"), (F.bitwise_not(acc["high"]) + F.when(zero, 1).otherwise(0)).bitwiseAND(low32)).otherwise(acc["high"])
+        low = F.when(text.startswith("-"), (F.lit(1 << 32) - acc["low"]).bitwiseAND(low32)).otherwise(acc["low"])
+        return F.shiftleft(high, 32).bitwiseOR(low)
+
+    start = F.struct(F.lit(0).cast("long").alias("high"), F.lit(0).cast("long").alias("low"))
+    value = F.aggregate(each, start, shifted, signed)
+    wrong = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("long")
+    return F.when(text.isNotNull(), F.when(text.rlike("^[+-]?[0-9]+$"), value).otherwise(wrong))
+
+
+def varint_exact(text: Column) -> Column:
+    """An integer as ``{scale, value}``, scale 0: the form of precise decimals, for any number of digits."""
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(text, "^[+-]", ""), "^0+(?=.)", "")
+    return F.when(text.isNotNull(), F.struct(F.lit(0).alias("scale"), F.concat(sign, digits).alias("value")))
 
 
 @dataclass
@@ -103,10 +142,11 @@ class TypeSystem:
         name, args = parse(cql)
         if name in self.extra:
             return self.extra[name][0]
+        exact = T.StructType([T.StructField("scale", T.IntegerType()), T.StructField("value", T.StringType())])
         if name == "decimal":
-            return {DOUBLE: T.DoubleType(), STRING: T.StringType(), PRECISE: T.StructType([T.StructField("scale", T.IntegerType()), T.StructField("value", T.StringType())])}[self.decimal_mode]
+            return {DOUBLE: T.DoubleType(), STRING: T.StringType(), PRECISE: exact}[self.decimal_mode]
         if name == "varint":
-            return {LONG: T.LongType(), STRING: T.StringType(), PRECISE: T.DecimalType(38, 0)}[self.varint_mode]
+            return {LONG: T.LongType(), STRING: T.StringType(), PRECISE: exact}[self.varint_mode]
         if name in ("list", "set"):
             return T.ArrayType(self.spark_type(args[0]))
         if name == "map":
@@ -131,9 +171,9 @@ class TypeSystem:
         if name == "duration":
             return duration_nanos(c["months"], c["days"], c["nanos"])
         if name == "decimal":
-            return {DOUBLE: lambda: c.cast("double"), STRING: lambda: c.cast("string"), PRECISE: lambda: decimal_parts(c.cast("string"))}[self.decimal_mode]()
+            return {DOUBLE: lambda: c.cast("double"), STRING: lambda: decimal_plain(c.cast("string")), PRECISE: lambda: decimal_parts(c.cast("string"))}[self.decimal_mode]()
         if name == "varint":
-            return {LONG: lambda: varint_long(c.cast("string")), STRING: lambda: c.cast("string"), PRECISE: lambda: c.cast("string").try_cast("decimal(38,0)")}[self.varint_mode]()
+            return {LONG: lambda: varint_long(c.cast("string")), STRING: lambda: c.cast("string"), PRECISE: lambda: varint_exact(c.cast("string"))}[self.varint_mode]()
         if name == "list":
             return F.transform(c, lambda x: self.decode(args[0], x))
         if name == "set":
