@@ -30,6 +30,8 @@ from .common import bound_batches, share, table
 
 #: Symbols of a text that are parsed as one block; blocks are parsed side by side.
 BLOCK = 1024
+#: Symbols in blocks that are parsed at once, their padding included.
+MATRIX = 1 << 21
 SPACE = 32
 #: Cells of the dense tables of all languages together; more languages have fewer dense columns each.
 CELLS = 1 << 27
@@ -157,12 +159,16 @@ def parse(tables: list[LanguageTable], texts: list[str]) -> tuple[np.ndarray, np
     size = np.minimum(BLOCK, n[owner] - nth * BLOCK)
     order = np.argsort(-size, kind="stable")
     owner, begin, size = owner[order], begin[order], size[order]
-    active = np.searchsorted(-size, -np.arange(size[0]), side="left") if len(size) else np.zeros(0, int)
-    padded = np.concatenate([flat, np.zeros(BLOCK, np.uint32)])
-    blocks = padded[begin[None, :] + np.arange(size[0])[:, None]]
+    padded, phrases, at = np.concatenate([flat, np.zeros(BLOCK, np.uint32)]), np.zeros((len(tables), len(texts))), 0
+    while at < len(size):  # columns of about equal length, MATRIX symbols at a time
+        few = slice(at, at + max(1, MATRIX // int(size[at])))
+        active = np.searchsorted(-size[few], -np.arange(size[at]), side="left")
+        blocks = padded[begin[few][None, :] + np.arange(size[at])[:, None]]
+        for k, t in enumerate(tables):
+            phrases[k] += np.bincount(owner[few], t.phrases(blocks, active), minlength=len(texts))
+        at = few.stop
     for k, t in enumerate(tables):
-        phrases = np.bincount(owner, t.phrases(blocks, active), minlength=len(texts))
-        bits[:, k] = np.where(n > 0, phrases * np.log2(t.size) / np.maximum(n, 1), np.inf)
+        bits[:, k] = np.where(n > 0, phrases[k] * np.log2(t.size) / np.maximum(n, 1), np.inf)
     return bits, n
 
 
