@@ -13,7 +13,6 @@ from tidemark.sources import snapshot as S
 from tidemark.spec import SchemaRegistry
 from tidemark.streaming import log_source
 from tidemark.streaming.pipeline import DEAD_LETTER, Capture, healthy
-from tidemark.streaming.ranges import pair_across_batches
 from tidemark.streaming.transfer import ERROR, OK, Deletion, Relocation
 
 T1, T2 = spec("ks", "t1", ["a:int"], regular=["b:text"]), spec("ks", "t2", ["a:int"], regular=["b:text"])
@@ -166,18 +165,6 @@ def test_listings(spark, tmp_path):
     assert read.select("pos").first()[0] == 0
 
 
-def test_ranges_across_batches(spark, tmp_path):
-    schema = "keyspace string, table string, partition string, seq long, deleted_at long, open string, close string"
-    parts = [[("k", "t", "p", 1, 5, "o1", None)], [("k", "t", "p", 2, 5, "o2", "c1"), ("k", "t", "q", 3, 5, None, "c9")], [("k", "t", "p", 4, 6, None, "c2")]]
-    src = f"{tmp_path}/in"
-    for i, rows in enumerate(parts):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-        q = pair_across_batches(spark.readStream.schema(schema).parquet(src)).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
-        q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").orderBy("seq").collect()
-    assert [(r["seq"], r["start"], r["end"]) for r in got] == [(2, "o1", "c1"), (4, "o2", "c2")]
-
-
 def test_observed_counts(spark, tmp_path):
     rows = E.changes(batch(spark, n=4), SchemaRegistry([T1]).frame(spark))
     df, seen = M.observed(rows)
@@ -191,8 +178,9 @@ def test_order_is_kept_inside_queues(spark):
     assert len({(r["file"], r["q"]) for r in dealt}) == 2
     for f in {r["file"] for r in dealt}:
         assert [r["pos"] for r in dealt if r["file"] == f] == list(range(50))
-    q = spark.range(1).select(E.queue_index(F.lit("x"), 3)).first()[0]
-    assert 0 <= q < 3
+    queues = E.partition_for_order(rows, 4).select(F.spark_partition_id().alias("q"), E.queue_index(4)).distinct().collect()
+    assert all(r["q"] == r["queue"] for r in queues)
+    assert rows.select(E.queue_index(4, snapshot=True)).distinct().count() == 1
 
 
 def test_listener_and_stop(spark, tmp_path):
@@ -213,11 +201,6 @@ def test_listener_and_stop(spark, tmp_path):
         spark.streams.removeListener(seen)
 
 
-def test_snapshot_rows_of_a_table_stay_together(spark):
-    one = S.snapshot(spark.sql("SELECT 1 AS a, 'x' AS b UNION ALL SELECT 2, 'y'"), T1, TypeSystem(), 1)
-    assert len({r["q"] for r in E.partition_snapshots(one, 4).select(F.spark_partition_id().alias("q")).collect()}) == 1
-
-
 def test_stream_and_batch_agree(spark, tmp_path):
     folder, out = f"{tmp_path}/cdc", []
     for i in range(3):

@@ -24,8 +24,19 @@ _ENUMS = {
     "snapshot.mode": ("ALWAYS", "INITIAL", "NEVER"), "decimal.handling.mode": ("DOUBLE", "PRECISE", "STRING"),
     "varint.handling.mode": ("LONG", "PRECISE", "STRING"), "event.order.guarantee.mode": ("COMMITLOG_FILE", "PARTITION_VALUES"),
 }
+#: Keys of the store's own client and node, which have no counterpart here; setting one is told, not obeyed.
+WITHOUT_EFFECT = {
+    "snapshot.consistency": "tables are read by Spark", "driver.config.file": "there is no store client", "node.id": "only checked in hosted mode, where it names the node",
+    "poll.interval.ms": "the end of a micro-batch starts the next", "max.batch.size": "a batch is bounded by max.queue.size",
+}
+#: Bytes of log that a place in the queue stands for.
+QUEUE_PLACE = 1024
+
 _REQUIRED = ("offset.backing.store.dir", "commit.log.relocation.dir")
-_POSITIVE = ("num.of.change.event.queues", "commit.log.marked.complete.poll.interval.ms", "cdc.dir.poll.interval.ms")
+_POSITIVE = (
+    "num.of.change.event.queues", "commit.log.marked.complete.poll.interval.ms", "cdc.dir.poll.interval.ms", "snapshot.scan.interval.ms",
+    "commit.log.relocation.dir.poll.interval.ms", "schema.refresh.interval.ms", "max.queue.size", "max.batch.size",
+)
 
 
 def _typed(key: str, value: object) -> object:
@@ -60,6 +71,10 @@ class Config:
         """Keys under a prefix, with the prefix taken off (producer, transfer and converter settings)."""
         return {k[len(prefix) :]: v for k, v in self.values.items() if k.startswith(prefix)}
 
+    def without_effect(self) -> dict[str, str]:
+        """Keys that are set to other than their default and change nothing here, with the reason."""
+        return {k: why for k, why in WITHOUT_EFFECT.items() if k in self.values and self.values[k] != DEFAULTS[k]}
+
     def printable(self) -> dict[str, object]:
         """Without keys that name users or passwords."""
         return {k: v for k, v in self.values.items() if not any(x in k.lower() for x in ("username", "password"))}

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import position as P
 from ..functions.types import TypeSystem
-from ..spec import CLUSTERING, PARTITION, REGULAR, ColumnSpec, TableSpec
+from ..spec import CLUSTERING, PARTITION, ColumnSpec, TableSpec
 from ..sources.mutation_log import BOUND, CELL, updates
 from . import classify as C
 
@@ -42,17 +42,52 @@ def max_timestamp(rows: Column, partition_deleted_at: Column) -> Column:
     return F.greatest(F.array_max(F.concat(each, F.array(F.coalesce(partition_deleted_at, none)))), none)
 
 
+def _marks(rows: Column) -> Column:
+    """The range markers of an update in order of ``seq``."""
+    return F.array_sort(F.filter(rows, lambda r: r["kind"].startswith("RANGE_")), lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0))
+
+
+def _range(opening: Column, closing: Column) -> Column:
+    """One range, or null: a closing bound ends what the marker just before it opened.
+
+    That marker is all the state there is: any marker opens, which replaces an earlier opening, or closes, which ends it, or does both.
+    A closing bound without an opening gives nothing."""
+    both = opening["open_bound"].isNotNull() & closing["close_bound"].isNotNull()
+    return F.when(both, _change(closing["seq"], RANGE, opening["deleted_at"], opening["deleted_at"], start=opening["open_bound"], end=closing["close_bound"]))
+
+
 def pair_ranges(rows: Column) -> Column:
-    """Range changes of an update: the n-th opening bound with the n-th closing one, in order of ``seq``."""
-    marks = F.array_sort(F.filter(rows, lambda r: r["kind"].startswith("RANGE_")), lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0))
-    opened = F.filter(marks, lambda r: r["open_bound"].isNotNull())
-    closed = F.filter(marks, lambda r: r["close_bound"].isNotNull())
-    paired = F.zip_with(
-        opened, closed, lambda o, c: F.when(o.isNotNull() & c.isNotNull(), _change(c["seq"], RANGE, o["deleted_at"], o["deleted_at"], start=o["open_bound"], end=c["close_bound"]))
-    )
+    """Range changes whose two bounds lie in the same update."""
+    marks = _marks(rows)
+    paired = F.transform(F.sequence(F.lit(1), F.greatest(F.size(marks) - 1, F.lit(1))), lambda i: _range(F.get(marks, i - 1), F.get(marks, i)))
     return F.filter(paired, lambda x: x.isNotNull())
 
 
+MARKER = f"struct<seq:bigint,deleted_at:bigint,open_bound:{BOUND},close_bound:{BOUND}>"
+POSITION = ("segment", "pos", "update_no")
+
+
+def range_ends(found: DataFrame) -> DataFrame:
+    """Updates with range markers, and what of theirs can meet other updates: ``head``, a closing bound that comes first, and ``tail``, an opening one that comes last."""
+    marks = F.transform(_marks(F.col("rows")), lambda r: F.struct(*[r[x].alias(x) for x in ("seq", "deleted_at", "open_bound", "close_bound")]))
+    some = found.filter(F.exists("rows", lambda r: r["kind"].startswith("RANGE_"))).withColumn("__marks", marks)
+    first, last = F.get("__marks", F.lit(0)), F.get("__marks", F.size("__marks") - 1)
+    key = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("partition_key")))).alias("partition")
+    kept = [c for c in ("keyspace", "table", "partition_key", "file", "pos", "update_no") if c in some.columns]
+    return some.select(*kept, key, P.segment_id(F.col("file")).alias("segment"), F.when(first["close_bound"].isNotNull(), first).alias("head"), F.when(last["open_bound"].isNotNull(), last).alias("tail"))
+
+
+def ranges_across(ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ranges whose bounds lie in different updates of a partition, from ``range_ends``; and the openings still waiting for their end.
+
+    The only step from log to events that shuffles: updates with range markers, by partition key."""
+    order = Window.partitionBy("keyspace", "table", "partition").orderBy(*POSITION)
+    seen = ends.withColumns({"__before": F.lag("tail").over(order), "__next": F.lead("segment").over(order)})
+    whole = seen.withColumn("__change", _range(F.col("__before"), F.col("head"))).filter("__change IS NOT NULL")
+    rest = [c for c in ends.columns if c not in ("partition", "segment", "head", "tail")]
+    return whole.select(*rest, "__change.*"), seen.filter("__next IS NULL AND tail IS NOT NULL").select(ends.columns)
+
+
 def row_changes(rows: Column, update_ts: Column) -> Column:
     kept = F.filter(rows, lambda r: C.row_type(r["kind"], r["deleted_at"], r["liveness_ts"]).isin("INSERT", "UPDATE", "DELETE"))
 
@@ -64,18 +99,17 @@ def row_changes(rows: Column, update_ts: Column) -> Column:
     return F.transform(kept, change)
 
 
-def changes(log: DataFrame, specs: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Change rows of all registered tables, from the log: filters first, then one unnesting.
-
-    ``specs`` is the registry's frame (one row per table); updates of unknown
-    tables are dropped by the join.  ``keep`` is the offset filter, applied
-    before rows are unnested.
-    """
+def captured(log: DataFrame, specs: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The updates that give events: of tracked mutations, known tables, beyond the offsets, and of a supported type."""
     found = updates(C.tracked(log)).join(specs, ["keyspace", "table"])
     if keep is not None:
         found = keep(found)
     kind = C.partition_type(F.col("is_counter"), F.col("is_view"), F.col("is_index"), F.col("partition_deleted_at"), F.col("has_clustering"))
-    found = C.supported(found.withColumn("partition_type", kind))
+    return C.supported(found.withColumn("partition_type", kind))
+
+
+def unnested(found: DataFrame) -> DataFrame:
+    """The changes of ``captured`` updates, ranges across updates apart."""
     gone = F.when(C.present(F.col("partition_deleted_at")), F.array(_change(F.lit(-1).cast("long"), DELETE, F.col("partition_deleted_at"), F.col("partition_deleted_at"), whole=True)))
     update_ts = max_timestamp(F.col("rows"), F.col("partition_deleted_at"))
     by_seq = lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0)
@@ -84,6 +118,24 @@ def changes(log: DataFrame, specs: DataFrame, keep: Callable[[DataFrame], DataFr
     return found.select(*rest, F.inline(listed))
 
 
+def changes(log: DataFrame, specs: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Change rows of all registered tables, from the log: filters first, then one unnesting.
+
+    ``specs`` is the registry's frame (one row per table); updates of unknown
+    tables are dropped by the join.  ``keep`` is the offset filter, applied
+    before rows are unnested.  Bounds of a range pair within their update;
+    ``all_changes`` pairs them across updates as well.
+    """
+    return unnested(captured(log, specs, keep))
+
+
+def all_changes(found: DataFrame, waiting: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Changes of ``captured`` updates with ranges across updates, and the openings left, to be given as ``waiting`` with what follows in the log."""
+    ends = range_ends(found)
+    across, left = ranges_across(ends if waiting is None else ends.unionByName(waiting, allowMissingColumns=True))
+    return unnested(found).unionByName(across, allowMissingColumns=True), left
+
+
 def gone_type() -> str:
     return f"array<struct<seq:bigint,op:string,event_ts:bigint,deleted_at:bigint,clustering:map<string,string>,cells:map<string,{CELL}>,range_start:{BOUND},range_end:{BOUND},whole_partition:boolean>>"
 
@@ -187,14 +239,7 @@ def partition_for_order(df: DataFrame, queues: int, mode: str = "COMMITLOG_FILE"
     return df.repartition(queues, *by).sortWithinPartitions(*order)
 
 
-def partition_snapshots(df: DataFrame, queues: int) -> DataFrame:
-    """A table's snapshot rows stay together; only for sinks that need it, as it moves rows by table."""
-    return df.repartition(queues, "table")
-
-
-def queue_index(by: Column, queues: int) -> Column:
-    return F.pmod(F.hash(by), F.lit(queues))
-
-
-def regular_columns(spec: TableSpec) -> list[ColumnSpec]:
-    return list(spec.role(REGULAR))
+def queue_index(queues: int, mode: str = "COMMITLOG_FILE", key_columns: Sequence[str] = (), snapshot: bool = False) -> Column:
+    """The queue of an event, where ``partition_for_order`` puts it too; a snapshot's rows go by table, without being moved there."""
+    by = ["table"] if snapshot else ["file"] if mode == "COMMITLOG_FILE" else list(key_columns)
+    return F.pmod(F.hash(*by), F.lit(queues)).alias("queue")

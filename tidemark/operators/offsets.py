@@ -54,27 +54,28 @@ def pending_snapshots(tables: DataFrame, offsets: DataFrame, started: DataFrame
 
 
 class FlushPolicy:
-    """When to persist offsets: always (interval 0), or once the interval is over or more than ``max_records`` were marked."""
+    """When to persist offsets: always (interval 0), or once the interval is over or ``max_records`` were marked."""
 
     def __init__(self, interval_ms: int = 0, max_records: int = 100, clock: Callable[[], float] = time.monotonic):
         self.interval, self.max_records, self.clock = interval_ms / 1000, max_records, clock
         self.last, self.marked = clock(), 0
 
-    def should_flush(self) -> bool:
+    def should_flush(self, records: int = 1) -> bool:
+        """To be asked with each lot of records that is marked."""
         if self.interval <= 0:
             return True
         if self.clock() - self.last >= self.interval or self.marked >= self.max_records:
             self.last, self.marked = self.clock(), 0
             return True
-        self.marked += 1
+        self.marked += records
         return False
 
 
-class OffsetStore:
-    """Offsets as a parquet table in a folder of versions; a writer adds the next version and readers take the last."""
+class Versions:
+    """A small table in a folder of numbered versions: a writer adds the next and readers take the last; older ones than the one before are deleted."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -92,8 +93,24 @@ class OffsetStore:
 
     def load(self) -> DataFrame:
         found = self.versions()
-        return self.spark.read.schema(OFFSETS).parquet(f"{self.path}/{found[-1]}") if found else local_frame(self.spark, [], OFFSETS)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[-1]}") if found else self.spark.createDataFrame([], self.schema)
 
-    def commit(self, new: DataFrame) -> None:
+    def put(self, rows: DataFrame) -> None:
         found = self.versions()
-        advance(self.load(), new).coalesce(1).write.parquet(f"{self.path}/{(found[-1] if found else -1) + 1}")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{(found[-1] if found else -1) + 1}")
+        folder, fs = self._fs()
+        for old in found[:-1]:
+            fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, str(old)), True)
+
+
+class OffsetStore(Versions):
+    """Offsets of all tables."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(spark, path, OFFSETS)
+
+    def load(self) -> DataFrame:
+        return super().load() if self.versions() else local_frame(self.spark, [], OFFSETS)
+
+    def commit(self, new: DataFrame) -> None:
+        self.put(advance(self.load(), new))

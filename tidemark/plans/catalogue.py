@@ -7,6 +7,7 @@ checks the log, the engine and the flattening together.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -118,20 +119,31 @@ def snapshot_ttl_deletion_ts(spark, d):
     return rows.select(_cell("event_id").alias("event_id"), _cell("value", "deletion_ts").alias("value_deletion_ts"), _cell("value", "set").alias("value_set"))
 
 
-_TABLES = [("shop.orders", True, False), ("shop.customer", True, False), ("shop.lineitem", True, False), ("app.user_events", True, False), ("app.off", False, False), ("app.virtual", True, True)]
+# Tables of a store, one per nation: every third is off, those of one region are virtual; some have been read, some are being read.
+_STORE = "SELECT 'app.t' || n_nationkey AS name, n_nationkey % 3 <> 0 AS cdc, n_regionkey = 3 AS virtual, n_nationkey % 4 = 1 AS done, n_nationkey % 5 = 2 AS started FROM nation"
 
 
-@query("SELECT name FROM (VALUES ('app.user_events'), ('shop.customer'), ('shop.lineitem'), ('shop.orders')) t(name) WHERE name NOT IN ('shop.orders', 'shop.customer')")
+def _store(spark, d) -> tuple[D.SchemaRegistry, DataFrame]:
+    nations = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    specs = [D.TableSpec("app", f"t{r['n_nationkey']}", (), r["n_nationkey"] % 3 != 0, r["n_regionkey"] == 3) for r in nations.collect()]  # a catalogue's size
+    return D.SchemaRegistry(specs), nations.select(F.concat(F.lit("app.t"), F.col("n_nationkey").cast("string")).alias("name"), "n_nationkey")
+
+
+def _pending(spark, d) -> tuple[DataFrame, DataFrame]:
+    reg, names = _store(spark, d)
+    tables = local_frame(spark, [(s.name,) for s in reg.tables()], "name string")
+    done = names.filter("n_nationkey % 4 = 1").select("name", F.lit(O.SNAPSHOT).alias("kind"), F.lit("").alias("file"), F.lit(-1).alias("pos"))
+    return tables, O.pending_snapshots(tables, done.unionByName(O.offsets_frame(spark, [MARK])), names.filter("n_nationkey % 5 = 2").select("name"))
+
+
+@query(f"SELECT name FROM ({_STORE}) WHERE cdc AND NOT virtual AND NOT done AND NOT started")
 def snapshot_pending_tables(spark, d):
-    tables = local_frame(spark, [(s.name,) for s in D.registry().tables()], "name string")
-    offsets = O.offsets_frame(spark, [("shop.orders", O.SNAPSHOT, "", -1), MARK])
-    return O.pending_snapshots(tables, offsets, local_frame(spark, [("shop.customer",)], "name string"))
+    return _pending(spark, d)[1]
 
 
-@query("SELECT name FROM (VALUES " + ", ".join(f"('{n}', {c}, {v})" for n, c, v in _TABLES) + ") t(name, cdc, virtual) WHERE cdc AND NOT virtual")
+@query(f"SELECT name FROM ({_STORE}) WHERE cdc AND NOT virtual")
 def cdc_tables(spark, d):
-    reg = D.SchemaRegistry(D.TableSpec(*n.split("."), (), cdc, virtual) for n, cdc, virtual in _TABLES)
-    return reg.frame(spark).select(F.concat_ws(".", "keyspace", "table").alias("name"))
+    return _store(spark, d)[0].frame(spark).select(F.concat_ws(".", "keyspace", "table").alias("name"))
 
 
 # --- The log -------------------------------------------------------------------------------------------------------------
@@ -289,20 +301,23 @@ def log_high_water(spark, d):
     return O.advance(O.offsets_frame(spark, [MARK]), new)
 
 
-@query("SELECT 8 AS queues, TRUE AS each_file_in_one_queue, TRUE AS each_key_in_one_queue, TRUE AS in_order")
+@query(EV + "SELECT file, count(*) AS events, CAST(1 AS BIGINT) AS queues, CAST(0 AS BIGINT) AS out_of_order, TRUE AS queue_as_told FROM change GROUP BY file")
 def log_partition_balance(spark, d):
-    rows = _changes(spark, d).withColumn("user_id", F.col("partition_key")["user_id"])
-    by_file = E.partition_for_order(rows, 8).withColumn("q", F.spark_partition_id())
-    by_key = E.partition_for_order(rows, 8, "PARTITION_VALUES", ["user_id"]).withColumn("q", F.spark_partition_id())
-    nth = F.monotonically_increasing_id()
-    here = F.struct(P.segment_id(F.col("file")), F.col("pos"), F.col("update_no"), F.col("seq"))
+    """Each file's events in one queue, that of its name, in order."""
+    rows = E.partition_for_order(_changes(spark, d), 8)
+    here = F.struct(P.segment_id(F.col("file")), F.col("pos"), F.col("update_no"), F.col("seq")).alias("here")
+    dealt = rows.select("file", here, F.spark_partition_id().alias("q"), F.monotonically_increasing_id().alias("nth"), E.queue_index(8))
     from pyspark.sql import Window
 
-    late = by_file.withColumn("nth", nth).select("q", (here < F.lag(here).over(Window.partitionBy("q").orderBy("nth"))).alias("late"))
-    together = lambda df, c: df.groupBy(c).agg(F.count_distinct("q").alias("n")).agg((F.max("n") == 1).alias("ok"))
-    found = [("each_file_in_one_queue", together(by_file, "file")), ("each_key_in_one_queue", together(by_key, "user_id")), ("in_order", late.agg((F.count_if("late") == 0).alias("ok")))]
-    rows = S.union_events([df.select(F.lit(name).alias("name"), "ok") for name, df in found])  # one row each
-    return rows.agg(F.lit(8).alias("queues"), *[F.max(F.when(F.col("name") == name, F.col("ok"))).alias(name) for name, _ in found])
+    late = dealt.withColumn("late", F.col("here") < F.lag("here").over(Window.partitionBy("q").orderBy("nth")))
+    return late.groupBy("file").agg(F.count("*").alias("events"), F.count_distinct("q").alias("queues"), F.count_if("late").alias("out_of_order"), F.bool_and(F.col("q") == F.col("queue")).alias("queue_as_told"))
+
+
+@query(EV + "SELECT user_id, count(*) AS events, CAST(1 AS BIGINT) AS queues FROM change GROUP BY user_id")
+def log_key_queues(spark, d):
+    """Dealt by partition key, a key's events are in one queue."""
+    rows = E.partition_for_order(_changes(spark, d).withColumn("user_id", F.col("partition_key")["user_id"].cast("long")), 8, "PARTITION_VALUES", ["user_id"])
+    return rows.withColumn("q", F.spark_partition_id()).groupBy("user_id").agg(F.count("*").alias("events"), F.count_distinct("q").alias("queues"))
 
 
 @query(EV + "SELECT DISTINCT file, seg AS segment, 'CommitLog-7-' || seg || '_cdc.idx' AS index_name, file AS log_name, TRUE AS is_segment FROM ev")
@@ -454,11 +469,10 @@ def metrics_mutations(spark, d):
     return M.mutation_counts(D.driver_log(spark, d), ~F.col("tracked_by_cdc"))
 
 
-@query("SELECT 4 AS total, 2 AS remaining, CAST(12 AS BIGINT) AS seconds")
+@query(f"SELECT count(*) AS total, count(*) FILTER (WHERE NOT done AND NOT started) AS remaining, (SELECT (max(n_nationkey) * 1700 - 1) // 1000 FROM nation) AS seconds FROM ({_STORE}) WHERE cdc AND NOT virtual")
 def metrics_tables(spark, d):
-    tables = local_frame(spark, [(s.name,) for s in D.registry().tables()], "name string")
-    out = M.remaining_tables(tables, snapshot_pending_tables(spark, d))
-    return out.select(F.col("total").cast("int").alias("total"), F.col("remaining").cast("int").alias("remaining"), M.snapshot_seconds(F.lit(1_000), F.lit(13_999)).alias("seconds"))
+    last = table(spark, d, "nation").agg(F.max("n_nationkey")).first()[0]
+    return M.remaining_tables(*_pending(spark, d)).withColumn("seconds", M.snapshot_seconds(F.lit(1), F.lit(last * 1700)))
 
 
 @query(EV + "SELECT file, CAST(pos AS BIGINT) AS pos FROM ev ORDER BY seg DESC, pos DESC LIMIT 1")
@@ -482,18 +496,20 @@ def log_errors_split(spark, d):
     return pick(error, "error").union(pick(archive, "archive"))
 
 
-@query(EV + "SELECT count(DISTINCT file) AS files, TRUE AS has_bytes FROM ev")
+@query(EV + """SELECT count(DISTINCT file) AS files, CAST(sum(length('{"pos":' || pos || ',"keyspace":"app"}') + 1) AS BIGINT) AS total_bytes FROM (SELECT DISTINCT file, pos FROM ev)""")
 def metrics_dir_bytes(spark, d):
     path = _scratch(spark, "segments")
     D.driver_log(spark, d).select("file", F.to_json(F.struct("pos", "keyspace")).alias("value")).repartition("file").write.partitionBy("file").text(path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
     name = F.regexp_extract("path", r"file=([^/]+)", 1)
-    size = L.directory_bytes(files.select(name.alias("name"), F.col("length").alias("bytes")).groupBy("name").agg(F.sum("bytes").alias("bytes")))
-    return size.select("files", (F.col("total_bytes") > 0).alias("has_bytes"))
+    return L.directory_bytes(files.select(name.alias("name"), F.col("length").alias("bytes")).groupBy("name").agg(F.sum("bytes").alias("bytes"))).select("files", "total_bytes")
 
 
 def _scratch(spark: SparkSession, tag: str) -> str:
+    """A folder that driver and executors share; one of our own only where all run on this machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
     return f"{(found or 'file://' + os.path.realpath(tempfile.mkdtemp(prefix='tidemark-'))).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
@@ -510,6 +526,181 @@ def stream_equals_batch(spark, d):
     return spark.read.schema(flat.schema).parquet(out)
 
 
+# --- Logs of other shapes ----------------------------------------------------------------------------------------------------
+
+# One marker per event: signups open a range, errors close one, purchases do both.
+_MARKS = """
+WITH e AS (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, epoch_us(ts) AS us FROM events),
+m AS (SELECT *, {up} AS up FROM e WHERE event_type IN ('signup', 'error', 'purchase')),
+l AS (SELECT *, lag(event_type) OVER w AS pt, lag(k) OVER w AS pk, lag(us) OVER w AS pus FROM m WINDOW w AS (PARTITION BY {by} ORDER BY event_id))
+SELECT user_id, event_id * 2 AS seq, pk AS start_k, k AS end_k, pus AS event_ts FROM l WHERE event_type IN ('error', 'purchase') AND pt IN ('signup', 'purchase')
+"""
+
+
+def _events_table(spark, d) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"), D.micros("ts").alias("us"))
+
+
+def _mutations(updates: DataFrame, per_file: int = 1000) -> DataFrame:
+    """A log of one update per mutation from ``(id, user_id, rows)``, in files of ``per_file`` ids; more columns override the update's fields."""
+    null = lambda t: F.lit(None).cast(t)
+    own = {"table": F.lit("user_events"), "is_counter": F.lit(False), "is_view": F.lit(False), "is_index": F.lit(False), "partition_key": F.create_map(F.lit("user_id"), F.col("user_id").cast("string")), "partition_deleted_at": null("bigint"), "rows": F.col("rows")}
+    own |= {c: F.col(c) for c in ("table", "partition_deleted_at") if c in updates.columns}
+    file = F.concat(F.lit("CommitLog-7-"), F.floor(F.col("id") / per_file).cast("string"), F.lit(".log"))
+    return updates.select(file.alias("file"), F.col("id").cast("int").alias("pos"), F.lit(True).alias("tracked_by_cdc"), F.lit("app").alias("keyspace"), F.array(F.struct(*[v.alias(n) for n, v in own.items()])).alias("updates"))
+
+
+def _row(kind: Column, seq: Column, *, us: Column | None = None, deleted: Column | None = None, clustering: Column | None = None, cells: Column | None = None, opens: Column | None = None, closes: Column | None = None) -> Column:
+    given = {"seq": seq, "kind": kind, "liveness_ts": us, "deleted_at": deleted, "written_at": us, "clustering": clustering, "cells": cells, "open_bound": opens, "close_bound": closes}
+    types = {"liveness_ts": "bigint", "deleted_at": "bigint", "written_at": "bigint", "clustering": "map<string,string>", "cells": f"map<string,{L.CELL}>", "open_bound": L.BOUND, "close_bound": L.BOUND}
+    return F.struct(*[(F.lit(None).cast(types[n]) if v is None else v).alias(n) for n, v in given.items()])
+
+
+def _marked(spark, d) -> DataFrame:
+    """``_MARKS`` as rows of a log."""
+    e = _events_table(spark, d).filter("event_type IN ('signup', 'error', 'purchase')")
+    bound = lambda method: F.struct(F.lit(method).alias("method"), F.array(F.struct(F.lit("k").alias("name"), F.col("k").cast("string").alias("value"), F.lit("Int32Type").alias("type"))).alias("values"))
+    kind = F.when(F.col("event_type") == "signup", "RANGE_OPEN").when(F.col("event_type") == "error", "RANGE_CLOSE").otherwise("RANGE_BOUNDARY")
+    opens, closes = F.when(F.col("event_type") != "error", bound("INCL_START_BOUND")), F.when(F.col("event_type") != "signup", bound("EXCL_END_BOUND"))
+    return e.select("event_id", "user_id", _row(kind, F.col("event_id") * 2, deleted=F.col("us"), opens=opens, closes=closes).alias("row"))
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    k = lambda side: F.col(f"after._range_{side}.values")[0]["value"].cast("int")
+    out = E.with_row(rows, D.USER_EVENTS, TYPES).filter("op = 'r'")
+    return out.select(F.col("key.user_id").alias("user_id"), "seq", k("start").alias("start_k"), k("end").alias("end_k"), "event_ts")
+
+
+@query(_MARKS.format(up="event_id // 50", by="event_id // 50, user_id"))
+def log_ranges_within(spark, d):
+    """Bounds pair in order within their update; those left alone there give nothing."""
+    e = _marked(spark, d)
+    u = e.groupBy(F.expr("event_id div 50").alias("id"), "user_id").agg(F.collect_list("row").alias("rows"))
+    return _ranges(E.changes(_mutations(u), D.registry().frame(spark)))
+
+
+@query(_MARKS.format(up="event_id", by="user_id"))
+def log_ranges_across(spark, d):
+    """Each bound in a mutation of its own: ranges pair across mutations and files."""
+    log = _mutations(_marked(spark, d).select(F.col("event_id").alias("id"), "user_id", F.array("row").alias("rows")))
+    return _ranges(E.all_changes(E.captured(log, D.registry().frame(spark)))[0])
+
+
+_TAGGED = D.TableSpec("app", "tagged", (D.ColumnSpec("user_id", "bigint", D.PARTITION), D.ColumnSpec("tags", "set<int>"), D.ColumnSpec("counts", "map<text,bigint>"), D.ColumnSpec("days", "frozen<list<date>>"), D.ColumnSpec("amount", "varint"), D.ColumnSpec("price", "decimal")))
+_CELL_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+
+
+@query(f"""SELECT event_id AS pos, 'tags' AS part, CAST(unnest(list_distinct([{_CELL_K}, {_CELL_K} % 2])) AS VARCHAR) AS item, CAST(NULL AS BIGINT) AS deletion_ts FROM events WHERE event_id % 4 <> 3
+    UNION ALL SELECT event_id, 'counts', event_type || '=' || event_id, NULL FROM events
+    UNION ALL SELECT event_id, 'days', CAST(unnest([event_id - 5000, event_id - 4000]) AS VARCHAR), (epoch_us(ts) // 1000000 + 60) * 1000000 FROM events
+    UNION ALL SELECT event_id, 'amount', CAST(event_id * 1000003 * CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS VARCHAR), (epoch_us(ts) // 1000000 + 60) * 1000000 FROM events""")
+def log_collection_cells(spark, d):
+    """Collections of the log as JSON, integers of 70 digits; collections of several cells never expire, frozen ones do, and a tombstone is a set cell without items."""
+    e = _events_table(spark, d)
+    text = lambda c: F.to_json(c)
+    value = lambda v, gone=F.lit(False): F.struct(v.cast("string").alias("value"), gone.alias("tombstone"), (F.floor(F.col("us") / 1_000_000) + 60).cast("long").alias("expires_at"))
+    wide = F.concat(F.when(F.col("event_id") % 2 == 0, "").otherwise("-"), (F.col("event_id") + 1).cast("string"), F.repeat(F.lit("0"), F.lit(40)), F.lpad((F.col("event_id") * 1000003).cast("string"), 24, "0"))
+    day = lambda n: (F.col("event_id") - n).cast("int").bitwiseXOR(F.lit(-2147483648).cast("int"))
+    cells = F.create_map(
+        F.lit("tags"), value(text(F.array(F.col("k"), F.col("k") % 2, F.col("k"))), F.col("event_id") % 4 == 3), F.lit("counts"), value(text(F.create_map(F.col("event_type"), F.col("event_id")))),
+        F.lit("days"), value(text(F.array(day(5000), day(4000)))), F.lit("amount"), value(wide),
+    )
+    log = _mutations(e.select(F.col("event_id").alias("id"), "user_id", F.lit("tagged").alias("table"), F.array(_row(F.lit("ROW"), F.lit(0).cast("long"), us=F.col("us"), cells=cells)).alias("rows")))
+    reg = D.SchemaRegistry([_TAGGED])
+    rows = E.with_row(E.changes(log, reg.frame(spark)), _TAGGED, TYPES)
+    as_text = lambda c: F.transform(c, lambda x: x.cast("string"))
+    pairs = F.transform(F.map_entries(_cell("counts")), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string")))
+    parts = {"tags": as_text(_cell("tags")), "counts": pairs, "days": as_text(_cell("days")), "amount": F.array(_cell("amount").cast("string"))}
+    listed = F.array(*[F.struct(F.lit(n).alias("part"), v.alias("items"), _cell(n, "deletion_ts").alias("deletion_ts")) for n, v in parts.items()])
+    return rows.select(F.col("pos").cast("long").alias("pos"), F.inline(listed)).select("pos", "part", F.explode("items").alias("item"), "deletion_ts")
+
+
+_LONE = D.TableSpec("app", "lone", (D.ColumnSpec("user_id", "bigint", D.PARTITION), D.ColumnSpec("value", "double")))
+
+
+@query("""SELECT CASE WHEN event_type = 'error' THEN 'DELETE_WITHOUT_CLUSTERING' ELSE 'ROW_LEVEL' END AS partition_type, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'i' ELSE 'u' END AS op, count(*) AS n
+    FROM events WHERE event_type <> 'view' GROUP BY 1, 2""")
+def log_without_clustering(spark, d):
+    """A table without clustering; rows of an unknown kind (views) are dropped."""
+    e = _events_table(spark, d)
+    kind = F.when(F.col("event_type") == "view", "SOMETHING_ELSE").otherwise("ROW")
+    cells = F.create_map(F.lit("value"), F.struct(F.col("value").cast("string").alias("value"), F.lit(False).alias("tombstone"), F.lit(None).cast("long").alias("expires_at")))
+    row = _row(kind, F.lit(0).cast("long"), us=F.when(F.col("event_type") == "signup", F.col("us")), cells=cells)
+    rows = F.when(F.col("event_type") == "error", F.array_remove(F.array(row), row)).otherwise(F.array(row))
+    log = _mutations(e.select(F.col("event_id").alias("id"), "user_id", F.lit("lone").alias("table"), F.when(F.col("event_type") == "error", F.col("us")).alias("partition_deleted_at"), F.filter(F.array(row), lambda r: F.col("event_type") != "error").alias("rows")))
+    found = E.with_row(E.changes(log, D.SchemaRegistry([_LONE]).frame(spark)), _LONE, TYPES)
+    return found.groupBy("partition_type", "op").agg(F.count("*").alias("n"))
+
+
+_EXP = "(event_id % 7 - 3)"
+_UNSCALED = "((abs(event_id - 5000) * 100 + 25) * CASE WHEN event_id < 5000 THEN -1 ELSE 1 END)"
+
+
+@query(f"""SELECT event_id, CAST(2 - {_EXP} AS INTEGER) AS scale, CAST({_UNSCALED} AS VARCHAR) AS unscaled,
+    CASE WHEN event_id < 5000 THEN '-' ELSE '' END || CASE WHEN {_EXP} = 3 THEN abs({_UNSCALED}) || '0' WHEN {_EXP} = 2 THEN CAST(abs({_UNSCALED}) AS VARCHAR)
+        ELSE (abs({_UNSCALED}) // CAST(pow(10, 2 - {_EXP}) AS BIGINT)) || '.' || lpad(CAST(abs({_UNSCALED}) % CAST(pow(10, 2 - {_EXP}) AS BIGINT) AS VARCHAR), CAST(2 - {_EXP} AS INTEGER), '0') END AS plain FROM events""")
+def types_decimal_exponent(spark, d):
+    n = F.col("event_id") - 5000
+    text = F.concat(F.when(n < 0, "-").otherwise(""), F.abs(n).cast("string"), F.lit(".25E"), (F.col("event_id") % 7 - 3).cast("string"))
+    e = table(spark, d, "events").select("event_id", text.alias("t"))
+    exact = TypeSystem(decimal_mode="PRECISE").decode("decimal", F.col("t"))
+    return e.select("event_id", exact["scale"].alias("scale"), exact["value"].alias("unscaled"), TypeSystem(decimal_mode="STRING").decode("decimal", F.col("t")).alias("plain"))
+
+
+_WIDE = "CASE WHEN event_id % 2 = 0 THEN '' ELSE '-' END || (event_id + 1) || repeat('0', 40) || lpad(CAST(event_id * 1000003 AS VARCHAR), 24, '0')"
+
+
+@query(f"SELECT event_id, event_id * 1000003 * CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS low, 0 AS scale, {_WIDE} AS exact FROM events")
+def types_varint_wide(spark, d):
+    """Integers of about 70 digits: the low 64 bits (10^64 is a multiple of 2^64), and every digit."""
+    n = F.col("event_id")
+    text = F.concat(F.when(n % 2 == 0, "").otherwise("-"), (n + 1).cast("string"), F.repeat(F.lit("0"), F.lit(40)), F.lpad((n * 1000003).cast("string"), 24, "0"))
+    e = table(spark, d, "events").select("event_id", text.alias("t"))
+    exact = TypeSystem(varint_mode="PRECISE").decode("varint", F.col("t"))
+    return e.select("event_id", TYPES.decode("varint", F.col("t")).alias("low"), exact["scale"].alias("scale"), exact["value"].alias("exact"))
+
+
+_SNAP_NULL = "SELECT o_orderkey AS key, o_totalprice AS kept, CAST(NULL AS VARCHAR) AS excluded FROM orders"
+
+
+@query(_SNAP_NULL)
+def snapshot_excludes(spark, d):
+    """A snapshot through the runner leaves excluded columns out."""
+    out: list[DataFrame] = []
+    runner = S.SnapshotRunner(spark, D.SchemaRegistry([D.ORDERS]), lambda s: table(spark, d, s.table), O.OffsetStore(spark, _scratch(spark, "offsets")), excludes={"shop.orders": ["o_orderpriority"]})
+    path = _scratch(spark, "snapshot")
+    runner.poll(lambda rows, spec: out.append(rows) or rows.select(F.col("key.o_orderkey").alias("key"), _cell("o_totalprice").alias("kept"), _cell("o_orderpriority").alias("excluded")).write.parquet(path), EXEC_MS)
+    return spark.read.parquet(path)
+
+
+@query(EV + "SELECT file, pos, user_id, seq, op, event_ts FROM change")
+def stream_growing_segments(spark, d):
+    """Segments that are read while they grow, cut within lines, then complete: every change once, and each segment archived once."""
+    from ..streaming import log_source as LS
+    from ..streaming.pipeline import Capture
+    from ..streaming.transfer import Relocation
+
+    folder, moved, offsets, state, out = (_scratch(spark, x) for x in ("segments", "moved", "offsets", "state", "events"))
+    log = D.driver_log(spark, d)
+    lines = log.select("file", F.to_json(F.struct(*[c for c in log.columns if c != "file"])).alias("value"))
+    staged = _scratch(spark, "staged")
+    lines.repartition("file").sortWithinPartitions("file", F.get_json_object("value", "$.pos").cast("int")).write.partitionBy("file").text(staged)
+    sizes = LS.adopt(spark, staged, folder)
+
+    def sink(rows: DataFrame, spec) -> None:
+        _flat(rows, "event_ts").write.mode("append").parquet(out)
+
+    capture = Capture(spark, D.registry(), O.OffsetStore(spark, offsets), sink, transfer=Relocation(spark, moved), folder=folder)
+    for part, done in ((0.3, False), (0.7, False), (1, True)):
+        for name, size in sizes.items():  # as many as segments
+            LS.write_index(folder, name, int(size * part), done)
+        capture.start(LS.read_stream(spark, folder, real_time=True), state).awaitTermination()
+    left = [n for n in capture.files.names(folder) if n.endswith(".log")]
+    if left or len(capture.files.names(f"{moved}/archive")) != 2 * len(sizes):
+        raise AssertionError(f"segments not archived: {left}")
+    return spark.read.parquet(out)
+
+
 # --- Extension: not a part of the event stream, but what its consumers compute from it -------------------------------------
 
 
@@ -523,16 +714,19 @@ def stream_equals_batch(spark, d):
 def current_state(spark, d):
     """Last-write-wins per key and column: rows, partitions and ranges deleted at or after a write hide it."""
     rows = _rows(spark, d).select("op", "whole_partition", "event_ts", "seq", F.col("partition_key")["user_id"].cast("long").alias("user_id"), F.col("clustering")["k"].cast("int").alias("k"), "after")
+    end = F.col("after._range_end.values")[0]["value"].cast("int")
+    # Deletions and written keys, merged map-side: one row per user and place.  A range [0, end] hides the keys up to its end.
+    place = F.when(F.col("op") == "r", end).otherwise(F.col("k"))
+    at = lambda when, name: F.max(F.when(when, F.col("event_ts"))).alias(name)
+    is_row = F.col("k").isNotNull()
+    places = rows.groupBy("user_id", place.alias("place")).agg(at(F.col("whole_partition"), "whole"), at(F.col("op") == "r", "ranged"), at((F.col("op") == "d") & is_row, "gone"), F.bool_or(is_row).alias("written"))
     from pyspark.sql import Window
 
-    whole = F.max(F.when(F.col("whole_partition"), F.col("event_ts"))).over(Window.partitionBy("user_id"))
-    end = F.when(F.col("op") == "r", F.col("after._range_end.values")[0]["value"].cast("int"))
-    # A range [0, end] hides the keys up to its end: the latest among ranges that end at or after a key.
-    place = F.coalesce(end, F.col("k"), F.lit(-1))
-    ranged = F.max(F.when(F.col("op") == "r", F.col("event_ts"))).over(Window.partitionBy("user_id").orderBy(F.desc(place)).rangeBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumns({"whole": whole, "ranged": ranged}).filter("k IS NOT NULL")
-    gone = F.max(F.when(F.col("op") == "d", F.col("event_ts"))).over(Window.partitionBy("user_id", "k"))
-    hidden = F.greatest(F.coalesce("whole", F.lit(-1)), F.coalesce("ranged", F.lit(-1)), F.coalesce(gone, F.lit(-1)))
-    live = rows.withColumn("hidden", hidden).filter("op IN ('i', 'u') AND event_ts > hidden")
+    user = Window.partitionBy("user_id")
+    down = user.orderBy(F.desc_nulls_last("place")).rowsBetween(Window.unboundedPreceding, 0)  # over the different keys of a user, not their writes
+    hidden = F.greatest(F.max("whole").over(user), F.max("ranged").over(down), F.col("gone"))
+    hidden = places.select("user_id", "place", "written", hidden.alias("hidden")).filter("written AND hidden IS NOT NULL").select("user_id", F.col("place").alias("k"), "hidden")
+    writes = rows.filter("op IN ('i', 'u')").join(hidden, ["user_id", "k"], "left")
+    live = writes.filter("hidden IS NULL OR event_ts > hidden")
     last = lambda c: F.max(F.when(F.col(f"after.{c}").isNotNull(), F.struct("event_ts", "seq", _cell(c).alias("v"))))["v"].alias(c)
     return live.groupBy("user_id", "k").agg(last("event_type"), last("value"), F.max("event_ts").alias("last_ts"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import time
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import position as P
 from ..functions.types import TypeSystem
 from ..operators import events as E
 from ..operators import offsets as O
+from ..operators.metrics import CaptureMetrics
 from ..spec import REGULAR, ColumnSpec, SchemaRegistry, TableSpec, local_frame
 
 ALWAYS, INITIAL, NEVER = "ALWAYS", "INITIAL", "NEVER"
@@ -62,11 +64,13 @@ class SnapshotRunner:
     """Snapshots of all pending tables, by mode: at each poll, at the first one, or never.
 
     A table's offset is committed only once the sink has taken all its rows; an
-    empty table is marked at once.
+    empty table is marked at once.  ``excludes`` names columns by table that are
+    not read.
     """
 
-    def __init__(self, spark: SparkSession, registry: SchemaRegistry, read: Callable[[TableSpec], DataFrame], store: O.OffsetStore, mode: str = INITIAL, types: TypeSystem | None = None):
+    def __init__(self, spark: SparkSession, registry: SchemaRegistry, read: Callable[[TableSpec], DataFrame], store: O.OffsetStore, mode: str = INITIAL, types: TypeSystem | None = None, excludes: Mapping[str, Iterable[str]] | None = None, metrics: CaptureMetrics | None = None):
         self.spark, self.registry, self.read, self.store = spark, registry, read, store
+        self.excludes, self.metrics = excludes or {}, metrics or CaptureMetrics()
         self.mode, self.types, self.polls = mode.upper(), types or TypeSystem(), 0
         if self.mode not in (ALWAYS, INITIAL, NEVER):
             raise ValueError(f"unknown snapshot mode: {mode}")
@@ -82,13 +86,33 @@ class SnapshotRunner:
         self.polls += 1
         if self.mode == NEVER or (self.mode == INITIAL and self.polls > 1):
             return []
-        done = []
-        for spec in self.pending() if self.mode == INITIAL else self.registry.tables():
-            sink(snapshot(self.read(spec), spec, self.types, execution_ms), spec)
-            self.store.commit(O.offsets_frame(self.spark, [(spec.name, O.SNAPSHOT, P.SNAPSHOT_FILE, P.SNAPSHOT_POS)]))
-            done.append(spec.name)
+        done: list[str] = []
+        todo = self.pending() if self.mode == INITIAL else self.registry.tables()
+        if not todo:
+            return done
+        self.metrics.snapshot_begins(len(self.registry.tables()), len(todo))
+        try:
+            for spec in todo:
+                seen = Observation()  # counted by the very job that writes the rows
+                rows = snapshot(self.read(spec), spec, self.types, execution_ms, self.excludes.get(spec.name, ()))
+                sink(rows.observe(seen, F.count("*").alias("rows")), spec)
+                self.store.commit(O.offsets_frame(self.spark, [(spec.name, O.SNAPSHOT, P.SNAPSHOT_FILE, P.SNAPSHOT_POS)]))
+                self.metrics.table_read(spec.name, self._counted(seen))
+                done.append(spec.name)
+        finally:
+            self.metrics.snapshot_ends("COMPLETED" if len(done) == len(todo) else "ABORTED")
         return done
 
+    @staticmethod
+    def _counted(seen: Observation) -> int:
+        """Rows that a finished job has observed; 0 if the sink ran none.  What is observed arrives a little after the job's end."""
+        for _ in range(40):
+            row = seen._jo.getRowOrEmpty() if seen._jo is not None else None
+            if row is not None and row.isDefined():
+                return int(row.get().getLong(0))
+            time.sleep(0.05)
+        return 0
+
 
 def union_events(parts: Iterable[DataFrame]) -> DataFrame:
     """Snapshot and log events in one stream; columns that one side lacks become null."""

@@ -113,6 +113,14 @@ class SchemaRegistry:
         for name in [n for n, s in self._specs.items() if s.keyspace == keyspace]:
             self.drop(name)
 
+    def refresh(self, found: Iterable[TableSpec]) -> list[tuple[str, str]]:
+        """Take over the tables as they are now; what changed, as ``(CREATED | ALTERED | DROPPED, table)``, by table."""
+        now = {s.name: s for s in found if s.cdc and not s.virtual}
+        changed = [(("ALTERED" if n in self._specs else "CREATED"), n) for n, s in now.items() if self._specs.get(n) != s]
+        changed += [("DROPPED", n) for n in self._specs if n not in now]
+        self._specs = now
+        return sorted(changed, key=lambda x: x[1])
+
     def tables(self) -> list[TableSpec]:
         return [self._specs[k] for k in sorted(self._specs)]
 

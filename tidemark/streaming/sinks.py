@@ -43,6 +43,13 @@ def with_headers(events: DataFrame, headers: Mapping[str, Column]) -> DataFrame:
     return events.withColumn("headers", F.array(*each))
 
 
+def trace_parent() -> Column:
+    """A trace context: the trace is the mutation an event comes from, the span the event itself."""
+    trace = F.md5(F.concat_ws(":", "file", F.col("pos").cast("string")).cast("binary"))
+    span = F.substring(F.md5(F.concat_ws(":", "file", "keyspace", "table", F.col("pos").cast("string"), F.col("seq").cast("string"), F.to_json("key")).cast("binary")), 1, 16)
+    return F.concat_ws("-", F.lit("00"), trace, span, F.lit("01"))
+
+
 def records(events: DataFrame, key: Converter = json_converter, value: Converter = json_converter) -> DataFrame:
     """``topic, key, value`` (and headers): what a message broker takes."""
     more = ["headers"] if "headers" in events.columns else []
@@ -57,15 +64,20 @@ class EventSink:
     partition key) and sorting inside them.
     """
 
-    def __init__(self, write: Callable[[DataFrame, TableSpec], None], prefix: str, cluster: str, clock: Callable[[], int], *, tombstones: bool = False, rewrite: bool = False, queues: int = 0, mode: str = "COMMITLOG_FILE", types: TypeSystem | None = None):
+    def __init__(self, write: Callable[[DataFrame, TableSpec], None], prefix: str, cluster: str, clock: Callable[[], int], *, tombstones: bool = False, rewrite: bool = False, queues: int = 0, mode: str = "COMMITLOG_FILE", types: TypeSystem | None = None, snapshot: bool = False, tracing: bool = False):
         self.write, self.prefix, self.cluster, self.clock = write, prefix, cluster, clock
         self.tombstones, self.rewrite, self.queues, self.mode, self.types = tombstones, rewrite, queues, mode, types or TypeSystem()
+        self.snapshot, self.tracing = snapshot, tracing
 
     def __call__(self, rows: DataFrame, spec: TableSpec) -> None:
-        if self.queues:
-            by = [f"key.{c.name}" for c in spec.role("PARTITION")]
+        by = [f"key.{c.name}" for c in spec.role("PARTITION")]
+        if self.queues and not self.snapshot:
             rows = E.partition_for_order(rows, self.queues, self.mode, by)
-        events = E.envelope(rows, spec, self.prefix, E.source_block(self.cluster, False), self.clock())
+        events = E.envelope(rows, spec, self.prefix, E.source_block(self.cluster, self.snapshot), self.clock())
+        if self.queues:
+            events = events.withColumn("queue", E.queue_index(self.queues, self.mode, by, self.snapshot))
+        if self.tracing:
+            events = with_headers(events, {"traceparent": trace_parent()})
         if self.rewrite:
             events = E.rewrite_envelope(events)
         if self.tombstones:
@@ -73,11 +85,11 @@ class EventSink:
         self.write(events, spec)
 
 
-def to_files(root: str, format: str = "json") -> Callable[[DataFrame, TableSpec], None]:
+def to_files(root: str, format: str = "json", key: str | None = None, value: str | None = None) -> Callable[[DataFrame, TableSpec], None]:
     """Append each topic's records to a folder of its own."""
 
     def write(events: DataFrame, spec: TableSpec) -> None:
-        records(events).drop("topic").write.mode("append").format(format).save(f"{root.rstrip('/')}/{spec.name}")
+        records(events, converter(key), converter(value)).drop("topic").write.mode("append").format(format).save(f"{root.rstrip('/')}/{spec.name}")
 
     return write
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import importlib
+import re
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 from pyspark.sql import SparkSession
 
-import re
-
 from ..functions.position import SEGMENT
 
+#: Fixed value: segments that are handed over at a time.
+THREADS = 10
 OK, ERROR, DOES_NOT_EXIST, COMPLETED_PREMATURELY = "OK", "ERROR", "DOES_NOT_EXIST", "COMPLETED_PREMATURELY"
 
 
@@ -80,13 +84,13 @@ class Relocation:
         return [f"{self.root}/error/{n}" for n in self.files.names(f"{self.root}/error") if re.fullmatch(SEGMENT, n)]
 
     def drain(self, transfer: Transfer) -> dict[str, int]:
-        """Hand over what lies in both folders, oldest segment first."""
-        done = {"archive": 0, "error": 0}
-        for folder, hand in (("archive", transfer.on_success), ("error", transfer.on_error)):
-            names = [n for n in self.files.names(f"{self.root}/{folder}") if re.fullmatch(SEGMENT, n)]
-            for n in sorted(names, key=lambda n: int(re.fullmatch(SEGMENT, n)[1])):
-                hand(f"{self.root}/{folder}/{n}")
-                done[folder] += 1
+        """Hand over what lies in both folders, several segments at a time, oldest first."""
+        done = {}
+        with ThreadPoolExecutor(THREADS) as pool:
+            for folder, hand in (("archive", transfer.on_success), ("error", transfer.on_error)):
+                names = [n for n in self.files.names(f"{self.root}/{folder}") if re.fullmatch(SEGMENT, n)]
+                names.sort(key=lambda n: int(re.fullmatch(SEGMENT, n)[1]))
+                done[folder] = len(list(pool.map(lambda n, f=folder, h=hand: h(f"{self.root}/{f}/{n}"), names)))
         return done
 
 
@@ -104,3 +108,13 @@ class Deletion:
 
     def error_files(self) -> list[str]:
         return []
+
+
+def load_transfer(path: str, spark: SparkSession, settings: Mapping[str, object]) -> Transfer:
+    """A transfer by the dotted name of its class, made from the session and its own settings."""
+    module, _, name = path.rpartition(".")
+    try:
+        made = getattr(importlib.import_module(module), name)
+    except (ImportError, AttributeError, ValueError) as e:
+        raise ValueError(f"commit.log.transfer.class: no such class: {path}") from e
+    return made(spark, dict(settings))
