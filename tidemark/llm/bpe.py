@@ -28,7 +28,7 @@ from .common import bound_batches, share, table
 
 _MASK = (1 << 64) - 1
 #: Pre-tokens remembered between batches by one worker, and the longest that is.
-MEMO, MEMO_CHARS = 700_000, 48
+MEMO, MEMO_CHARS = 400_000, 48
 #: Text handled at once inside an Arrow batch, in code points.
 STEP = 2_000_000
 

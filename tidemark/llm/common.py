@@ -85,7 +85,7 @@ def share(spark: SparkSession, value) -> Callable:
 
     def fetch():
         if "value" not in box.value:
-            box.value["value"] = cloudpickle.loads(box.value["pickled"])
+            box.value["value"] = cloudpickle.loads(box.value.pop("pickled"))  # only one of the two stays
         return box.value["value"]
 
     return fetch
