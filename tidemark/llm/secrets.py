@@ -222,7 +222,14 @@ def vocabulary(counts: DataFrame, words: int) -> dict[str, tuple[float, float]]:
 
     A word is taken with probability 1 - exp(-n * t), t the priority of the first word left out, and stands for n occurrences and one word over that."""
     u = (F.pmod(F.xxhash64("word", F.lit("null")), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
-    ranked = counts.withColumn("priority", -F.log(u) / F.col("n")).orderBy("priority", "word").limit(words + 1).collect()
+    known = counts.withColumn("priority", -F.log(u) / F.col("n"))
+    total, part, ranked = known.count(), 1.2, []
+    while len(ranked) <= words and len(ranked) < total:  # a cut below which about as many lie, so that no task sends more than its share of them
+        few = known
+        if part * (words + 1) < total:
+            cut = known.agg(F.percentile_approx("priority", part * (words + 1) / total, 100_000)).first()[0]
+            few = known.filter(F.col("priority") <= cut)
+        ranked, part = few.orderBy("priority", "word").limit(words + 1).collect(), 4 * part
     t = ranked[words]["priority"] if len(ranked) > words else math.inf
     taken = {r["word"]: (r["n"], -math.expm1(-r["n"] * t)) for r in ranked[:words]}
     return {w: (n / p, 1 / p) for w, (n, p) in taken.items()}
@@ -272,7 +279,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     found = materialize(rows.mapInArrow(scan, schema(base=_SPAN, runs=_RUN, words=_COUNT)), "secrets-found")
     counts = found.select(F.explode("words").alias("w")).groupBy("w.word").agg(F.sum("w.n").alias("n"))
+    counts = materialize(counts, "secrets-words")
     shared = share(spark, Null(vocabulary(counts, null_words)))
+    discard(counts)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         null = shared()
