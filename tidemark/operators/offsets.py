@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
@@ -75,7 +76,7 @@ class Versions:
     """A small table in a folder of numbered versions: a writer adds the next and readers take the last; older ones than the one before are deleted."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.spark, self.path, self.schema, self.lock = spark, path.rstrip("/"), schema, threading.RLock()
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -104,13 +105,17 @@ class Versions:
 
 
 class OffsetStore(Versions):
-    """Offsets of all tables."""
+    """Offsets of all tables; log and snapshots may commit from different threads."""
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, OFFSETS)
 
     def load(self) -> DataFrame:
-        return super().load() if self.versions() else local_frame(self.spark, [], OFFSETS)
+        """As they are now, whatever is committed later."""
+        with self.lock:
+            rows = [tuple(r) for r in super().load().collect()] if self.versions() else []  # as many as tables
+        return local_frame(self.spark, rows, OFFSETS)
 
     def commit(self, new: DataFrame) -> None:
-        self.put(advance(self.load(), new))
+        with self.lock:
+            self.put(advance(self.load(), new))
