@@ -203,19 +203,24 @@ def hamming_topk(
     high = max(0, min(narrow, ceil(log2(max(1, total / shard_rows)))))
     wide = max((int(np.diff(c).max()) for c in at.values()), default=0)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the shard of each segment's value, as an array."""
-        for b in batches:
-            ds, out = b.column("d").to_numpy(), [None] * b.num_rows
-            for d in np.unique(ds).tolist():
-                rows = np.nonzero(ds == d)[0]
-                values = segments(_codes(b.column("code").take(pa.array(rows)), d), d, at[d]) >> (np.diff(at[d]) - high)[None, :]
-                for r, v in zip(rows.tolist(), values.tolist(), strict=True):
-                    out[r] = v
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int64()))], names=[*b.schema.names, "shards"])
-
-    placed = codes.mapInArrow(place, "d int, code binary, ids array<struct<id:long,n:long>>, shards array<long>")
-    index = materialize(placed.select("d", "code", "ids", F.posexplode("shards").alias("seg", "shard")), "topk-index")
+    def place(df: DataFrame, schema: str, radius: int) -> DataFrame:
+        """A row for each segment and each shard (``seg, shard``) whose high bits differ in up to ``radius`` from the code's."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            change = np.concatenate([masks(high, i) for i in range(min(high, radius) + 1)])
+            for b in batches:
+                ds, out = b.column("d").to_numpy(), [None] * b.num_rows
+                for d in np.unique(ds).tolist():
+                    rows = np.nonzero(ds == d)[0]
+                    values = segments(_codes(b.column("code").take(pa.array(rows)), d), d, at[d]) >> (np.diff(at[d]) - high)[None, :]
+                    for r, v in zip(rows.tolist(), values, strict=True):
+                        out[r] = (v[:, None] ^ change[None, :]).tolist()
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.list_(pa.int64())))], names=[*b.schema.names, "shards"])
+
+        each = df.mapInArrow(run, f"{schema}, shards array<array<long>>").select(*df.columns, F.posexplode("shards").alias("seg", "shards"))
+        return each.select(*df.columns, "seg", F.explode("shards").alias("shard"))
+
+    index = materialize(place(codes, "d int, code binary, ids array<struct<id:long,n:long>>", 0), "topk-index")
     extent = index.groupBy("d", "seg", "shard").agg(F.ceil(F.count("*") / shard_rows).alias("subs"))  # codes that crowd one value are dealt out
     extent = materialize(extent, "topk-extent")
     sub = F.pmod(F.xxhash64("code"), F.col("subs")).cast("int").alias("sub")
@@ -262,9 +267,7 @@ def hamming_topk(
     best = spark.createDataFrame([], best_schema)
     live, spent = materialize(asked, "topk-live"), []
     for first, last in radii(wide):
-        near = F.array(*[F.lit(int(x)).cast("long") for i in range(min(high, last) + 1) for x in masks(high, i)])
-        sent = live.mapInArrow(place, "query_id long, d int, code binary, bound int, shards array<long>").select("query_id", "d", "code", "bound", F.posexplode("shards").alias("seg", "own"))
-        sent = sent.withColumn("shard", F.explode(F.transform(near, lambda x: F.col("own").bitwiseXOR(x)))).join(extent, ["d", "seg", "shard"])
+        sent = place(live.select("query_id", "d", "code", "bound"), "query_id long, d int, code binary, bound int", last).join(extent, ["d", "seg", "shard"])
         sent = sent.withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs").cast("int") - 1)))
         sent = sent.select(*CELL, F.lit(1).alias("kind"), "code", F.expr("CAST(NULL AS array<struct<id:long,n:long>>)").alias("ids"), "query_id", "bound")
         posed = shards.join(sent.select(*CELL).distinct(), CELL, "left_semi").union(sent) if first else shards.union(sent)
