@@ -238,3 +238,9 @@ def test_ranges_pair_across_batches(spark, tmp_path, size):
         new().batch(frame(spark, muts[i : i + size]).withColumn("eof", F.lit(False)))  # a new process each time
     assert ranges(out) == EXPECTED
     assert E.with_row(E.changes(frame(spark, muts), SchemaRegistry([T3]).frame(spark)), T3, TypeSystem()).filter("op = 'r'").count() == 4  # within updates only
+
+
+def test_a_segment_that_is_gone_is_told(spark, tmp_path):
+    c = capture(spark, tmp_path, [], transfer=Relocation(spark, f"{tmp_path}/moved"), folder=f"{tmp_path}/cdc")
+    c.settle("CommitLog-7-77.log")
+    assert c.results == {"CommitLog-7-77.log": "DOES_NOT_EXIST"}
