@@ -10,6 +10,7 @@ from logs import TS, bound, frame, mutation, row, spec, update
 from tidemark.functions.types import TypeSystem
 from tidemark.operators import events as E
 from tidemark.operators import offsets as O
+from tidemark.sources import mutation_log as L
 from tidemark.spec import SchemaRegistry
 from tidemark.streaming import log_source as LS
 from tidemark.streaming.pipeline import DEAD_LETTER, BrokenLines, Capture
@@ -155,15 +156,15 @@ def test_broken_lines_are_never_dropped_in_silence(spark, tmp_path):
     broken_segment(folder)
     read = lambda: spark.createDataFrame([r for r in read_all(LS.LogReader(folder, False))[0]], "file string, at long, mutation string, eof boolean")
     with pytest.raises(BrokenLines, match="trunc"):
-        capture(spark, tmp_path / "a", out).batch(LS.parsed(read()))
+        capture(spark, tmp_path / "a", out).batch(L.parsed(read()))
     assert out == []
     c = capture(spark, tmp_path / "b", out, broken=lambda df: told.extend(df.collect()))
-    c.batch(LS.parsed(read()))
+    c.batch(L.parsed(read()))
     assert len(out) == 2 and sorted(r["broken"] for r in told) == ['[1]', '{"other": 1}', '{"pos": 7, "trunc'] and c.results["CommitLog-7-1.log"] == OK
     assert c.metrics.report()["mutations_unrecoverable"] == 3
     move = Relocation(spark, f"{tmp_path}/moved")
     c = capture(spark, tmp_path / "c", out, failure=DEAD_LETTER, transfer=move, folder=folder)
-    c.batch(LS.parsed(read()))
+    c.batch(L.parsed(read()))
     assert [os.path.basename(x) for x in move.error_files()] == ["CommitLog-7-1.log"]
 
 

@@ -17,6 +17,7 @@ from ..operators import offsets as O
 from ..operators.filters import excludes_for, parse_excludes
 from ..operators.metrics import CaptureMetrics, Endpoints
 from ..sources import mutation_log as L
+from ..sources.binary import Decoder, read_binary
 from ..sources.snapshot import SnapshotRunner
 from ..spec import SchemaRegistry, TableSpec
 from ..streaming import log_source
@@ -36,11 +37,11 @@ class CapturePlan:
     turns a failing sink into a set-aside segment; without one the capture stops
     at the first failure.  ``schema`` gives the tables as they are now and is
     asked every ``schema.refresh.interval.ms``.  ``broken`` takes log lines that
-    are no mutations.
+    are no mutations.  With a ``decoder`` the segments are the store's binary ones.
     """
 
     def __init__(self, spark: SparkSession, config: Config, registry: SchemaRegistry, log_folder: str, read: Callable[[TableSpec], DataFrame], write: Write | None = None, *, transfer: Transfer | None = None,
-                 clock: Callable[[], int] = lambda: int(time.time() * 1000), schema: Callable[[], Iterable[TableSpec]] | None = None, broken: Callable[[DataFrame], None] | None = None):
+                 clock: Callable[[], int] = lambda: int(time.time() * 1000), schema: Callable[[], Iterable[TableSpec]] | None = None, broken: Callable[[DataFrame], None] | None = None, decoder: Decoder | None = None):
         if wrong := config.validate():
             raise ValueError("; ".join(wrong))
         for key, why in config.without_effect().items():
@@ -68,7 +69,7 @@ class CapturePlan:
             spark, registry, self.store, sinks[False], types=types, excludes=self.excludes, transfer=self.relocation, folder=self.folder, failure=DEAD_LETTER if self.transfer else FAIL_FAST,
             refresh=self.refresh_schema if schema else None, broken=broken, flush=O.FlushPolicy(self._number("offset.flush.interval.ms"), self._number("max.offset.flush.size")), metrics=self.metrics,
         )
-        self.refreshed, self.ddl = -1e18, []
+        self.refreshed, self.ddl, self.decoder = -1e18, [], decoder
 
     def _text(self, key: str) -> str | None:
         value = self.config[key]
@@ -98,7 +99,7 @@ class CapturePlan:
         return self.snapshots.poll(self.snapshot_sink, self.clock())
 
     def _stream(self, checkpoint: str, limit: int) -> DataFrame:
-        return log_source.read_stream(self.spark, self.folder, bool(self.config["commit.log.real.time.processing.enabled"]), limit, checkpoint)
+        return log_source.read_stream(self.spark, self.folder, bool(self.config["commit.log.real.time.processing.enabled"]), limit, checkpoint, self.decoder)
 
     def log(self, checkpoint: str) -> None:
         """All that can be read of the log by now: segments set aside before, then the stream, in batches of bounded size."""
@@ -125,9 +126,11 @@ class CapturePlan:
 
     def _read(self, paths: list[str]) -> DataFrame:
         """Whole segments, line by line as the stream reads them."""
+        if self.decoder:
+            return read_binary(self.spark, paths, self.decoder)
         text = self.spark.read.text(paths, lineSep="\n").withColumn("file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
         lines = text.filter(F.trim("value") != "").select("file", F.lit(None).cast("long").alias("at"), F.col("value").alias("mutation"), F.lit(False).alias("eof"))
-        return log_source.parsed(lines).drop("eof")
+        return L.parsed(lines).drop("eof")
 
     def reprocess(self) -> None:
         """Segments in the error folder (or that the transfer keeps) again, past the offset filter; each folder for itself."""

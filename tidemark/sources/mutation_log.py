@@ -6,6 +6,7 @@ Files are JSON lines or parquet with ``LOG_SCHEMA``.  Values travel as text
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,19 @@ UPDATE = f"struct<table:string,is_counter:boolean,is_view:boolean,is_index:boole
 LOG_SCHEMA = f"file string, pos int, tracked_by_cdc boolean, keyspace string, updates array<{UPDATE}>"
 
 
+#: A line of the log before it is parsed; ``eof`` marks the last row of a complete segment, which may have no mutation.
+LINES = pa.schema([("file", pa.string()), ("at", pa.int64()), ("mutation", pa.string()), ("eof", pa.bool_())])
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    """``LOG_SCHEMA`` from ``LINES``, with ``at``, ``eof`` and ``broken``: the text of a line that is no mutation."""
+    fields = LOG_SCHEMA.removeprefix("file string, ")
+    m = F.from_json("mutation", f"{fields}, broken string", {"columnNameOfCorruptRecord": "broken"})
+    none = F.col("m.pos").isNull() & F.col("m.keyspace").isNull()  # JSON, but no mutation
+    broken = F.coalesce("m.broken", F.when(none, F.col("mutation"))).alias("broken")
+    return lines.withColumn("m", m).select("file", "m.pos", "m.tracked_by_cdc", "m.keyspace", "m.updates", "at", "eof", broken)
+
+
 def read_log(spark: SparkSession, path: str, format: str = "json") -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).format(format).load(path)
 

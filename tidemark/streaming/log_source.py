@@ -19,13 +19,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from ..functions.position import INDEX, SEGMENT
-from ..sources.mutation_log import LOG_SCHEMA
+from ..sources.binary import Decoder
+from ..sources.mutation_log import LINES as COLUMNS
+from ..sources.mutation_log import parsed
 
-COLUMNS = pa.schema([("file", pa.string()), ("at", pa.int64()), ("mutation", pa.string()), ("eof", pa.bool_())])
 #: Bytes of a segment that one task reads, of an Arrow batch, and of a step back in search of a line's end.
 SLICE, BATCH, STEP = 64 << 20, 4 << 20, 64 << 10
 
@@ -90,8 +90,10 @@ class Slice(InputPartition):
 
 
 class LogReader(DataSourceStreamReader):
-    def __init__(self, folder: str, real_time: bool, max_bytes: int = 0, checkpoint: str = ""):
-        self.folder, self.real_time, self.max_bytes = folder.rstrip("/"), real_time, max_bytes
+    """Segments of JSON lines, or with a decoder the store's binary ones, whose offsets are ends of synced sections."""
+
+    def __init__(self, folder: str, real_time: bool, max_bytes: int = 0, checkpoint: str = "", decoder: Decoder | None = None):
+        self.folder, self.real_time, self.max_bytes, self.decoder = folder.rstrip("/"), real_time, max_bytes, decoder
         self.at = checkpointed(checkpoint) if checkpoint and max_bytes else {}
 
     def initialOffset(self) -> dict:
@@ -114,9 +116,11 @@ class LogReader(DataSourceStreamReader):
             known, ended = self.at.get(name, (0, False)) if left is not None else (0, False)
             if not (done or self.real_time):
                 break
-            end = synced if done else line_end(files, f"{root}/{name}", known, synced)
+            end = synced if done or self.decoder else line_end(files, f"{root}/{name}", known, synced)
             if left is not None and not ended:
-                if end - known > left:
+                if end - known > left and self.decoder:  # a segment's size is bounded by the store: all of it, or nothing yet
+                    end, done = (end, done) if left == self.max_bytes else (known, False)
+                elif end - known > left:
                     cut = line_end(files, f"{root}/{name}", known, known + left) if left > 0 else known
                     if cut == known and left == self.max_bytes:
                         cut = next_line(files, f"{root}/{name}", known, end)
@@ -137,12 +141,16 @@ class LogReader(DataSourceStreamReader):
             low, ended = start.get(name, (0, False))
             if stop <= low and done == ended:
                 continue
-            cuts = [*range(low, stop, SLICE), stop] if stop > low else [low, low]
+            cuts = [*range(low, stop, SLICE), stop] if stop > low and not self.decoder else [low, stop]
             out += [Slice(f"{root}/{name}", a, b, stop, a == low, done and b == stop) for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
     def read(self, part: Slice) -> Iterator[pa.RecordBatch]:
         files, _ = _open(self.folder)
+        if self.decoder:
+            with files.open_input_file(part.path) as f:
+                yield from self.decoder.batches(part.path.rsplit("/", 1)[-1], f.read(part.stop), part.start, part.eof)
+            return
         name, held, size = part.path.rsplit("/", 1)[-1], [], 0
 
         def batch(eof: bool = False) -> pa.RecordBatch:
@@ -187,7 +195,8 @@ def lines_from(f: pa.NativeFile, start: int, end: int, stop: int) -> Iterator[tu
 class MutationLogSource(DataSource):
     """Format ``tidemark_log``: rows ``(file, at, mutation, eof)``, the mutation as JSON text.
 
-    Options: ``realTime``; ``maxBytesPerTrigger``, which needs the query's ``checkpoint`` to go on after a restart."""
+    Options: ``realTime``; ``maxBytesPerTrigger``, which needs the query's ``checkpoint`` to go on after a restart; ``tables``,
+    JSON of table specs by id, for binary segments."""
 
     @classmethod
     def name(cls) -> str:
@@ -198,23 +207,15 @@ class MutationLogSource(DataSource):
 
     def streamReader(self, schema) -> LogReader:
         option = lambda name, default: self.options.get(name, default)
-        return LogReader(option("path", ""), str(option("realTime", "false")).lower() == "true", int(option("maxBytesPerTrigger", 0)), option("checkpoint", ""))
-
-
-def parsed(lines: DataFrame) -> DataFrame:
-    """``LOG_SCHEMA`` from ``(file, at, mutation, eof)``, with ``eof`` and ``broken``: the text of a line that is no mutation."""
-    fields = LOG_SCHEMA.removeprefix("file string, ")
-    m = F.from_json("mutation", f"{fields}, broken string", {"columnNameOfCorruptRecord": "broken"})
-    none = F.col("m.pos").isNull() & F.col("m.keyspace").isNull()  # JSON, but no mutation
-    broken = F.coalesce("m.broken", F.when(none, F.col("mutation"))).alias("broken")
-    return lines.withColumn("m", m).select("file", "m.pos", "m.tracked_by_cdc", "m.keyspace", "m.updates", "at", "eof", broken)
+        decoder = Decoder.from_json(option("tables", "")) if option("tables", "") else None
+        return LogReader(option("path", ""), str(option("realTime", "false")).lower() == "true", int(option("maxBytesPerTrigger", 0)), option("checkpoint", ""), decoder)
 
 
-def read_stream(spark: SparkSession, folder: str, real_time: bool = False, max_bytes: int = 0, checkpoint: str = "") -> DataFrame:
-    """The log as a stream with the columns of ``LOG_SCHEMA``, ``at``, ``eof`` and ``broken``."""
+def read_stream(spark: SparkSession, folder: str, real_time: bool = False, max_bytes: int = 0, checkpoint: str = "", decoder: Decoder | None = None) -> DataFrame:
+    """The log as a stream with the columns of ``LOG_SCHEMA``, ``at``, ``eof`` and ``broken``; with a decoder, of binary segments."""
     spark.dataSource.register(MutationLogSource)
-    lines = spark.readStream.format("tidemark_log").options(realTime=str(real_time).lower(), maxBytesPerTrigger=max_bytes, checkpoint=checkpoint).load(folder)
-    return parsed(lines)
+    options = {"realTime": str(real_time).lower(), "maxBytesPerTrigger": str(max_bytes), "checkpoint": checkpoint, "tables": decoder.to_json() if decoder else ""}
+    return parsed(spark.readStream.format("tidemark_log").options(**options).load(folder))
 
 
 def write_segment(folder: str, name: str, mutations: list[dict], completed: bool = True, synced: int | None = None) -> None:
