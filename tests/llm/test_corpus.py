@@ -154,6 +154,15 @@ def test_topk_sends_a_query_only_where_its_probes_lie(spark, monkeypatch):
     assert [(r["neighbour_id"], r["distance"]) for r in got.orderBy("rank").collect()] == [(1000 + i, 0) for i in range(10)] and sent == [1, 0]
 
 
+@pytest.mark.parametrize(("d", "segment_bits"), [(20, 8), (12, 8), (36, 8), (28, 8)])
+def test_topk_where_the_number_of_segments_is_rounded(spark, d, segment_bits):
+    rng = np.random.default_rng(d)
+    rows = [(i, rng.normal(size=d).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hamming_topk.hamming_topk(df, df.filter("vec_id % 20 = 0"), k=3, segment_bits=segment_bits)
+    assert key(got.collect()) == nearest(rows, set(range(0, 200, 20)), 3)
+
+
 def test_topk_other_widths(spark):
     rows, df = vectors(spark, n=80, d=100, seed=2)
     got = hamming_topk.hamming_topk(df, df.filter("vec_id = 7"), k=500)

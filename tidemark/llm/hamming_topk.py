@@ -37,7 +37,7 @@ def masks(width: int, radius: int) -> np.ndarray:
 
 def cuts(d: int, segment_bits: int) -> np.ndarray:
     """Where the segments of codes of ``d`` bits begin and end."""
-    return np.linspace(0, d, max(1, round(d / segment_bits)) + 1).astype(np.int64)
+    return np.linspace(0, d, max(1, int(d / segment_bits + 0.5)) + 1).astype(np.int64)
 
 
 def pack(bits: np.ndarray) -> np.ndarray:
@@ -276,7 +276,7 @@ def hamming_topk(
         best = materialize(best, "topk-best")
         so_far = F.sum("n").over(each.rowsBetween(Window.unboundedPreceding, Window.currentRow))  # over at most k rows a query
         kth = best.withColumn("rows", so_far).filter(F.col("rows") >= k).groupBy("query_id", "d", "code").agg(F.min("distance").cast("int").alias("kth"))
-        covered = F.lit(last + 1) * F.greatest(F.lit(1), F.round(F.col("d") / bits)) - 1
+        covered = F.lit(last + 1) * F.greatest(F.lit(1), F.floor(F.col("d") / bits + 0.5)) - 1  # as many segments as in cuts()
         left = live.join(kth, ["query_id", "d", "code"], "left").filter(F.col("kth").isNull() | (F.col("kth") > covered))
         left = materialize(left.select("query_id", "d", "code", F.coalesce("kth", "bound").alias("bound")), "topk-live")
         discard(*spent, live)
