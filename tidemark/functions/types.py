@@ -73,8 +73,9 @@ def duration_nanos(months: Column, days: Column, nanos: Column) -> Column:
 
 def decimal_parts(text: Column) -> Column:
     """``{scale, value}`` of a decimal text, exponents included: the unscaled value as text keeps any precision, and the scale may be negative."""
-    body = F.regexp_extract(text, r"^[+-]?([0-9]*\.?[0-9]*)", 1)
-    exponent = F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    has_exponent = F.instr(F.lower(text), "e") > 0
+    body = F.regexp_replace(F.substring_index(F.lower(text), "e", 1), "^[+-]", "")
+    exponent = F.when(has_exponent, F.substring_index(F.lower(text), "e", -1).cast("int")).otherwise(0)
     fraction = F.when(F.instr(body, ".") > 0, F.length(body) - F.instr(body, ".")).otherwise(0)
     digits = F.regexp_replace(F.replace(body, F.lit("."), F.lit("")), "^0+(?=.)", "")
     unscaled = F.concat(F.when(text.startswith("-"), "-").otherwise(""), digits)
@@ -82,7 +83,7 @@ def decimal_parts(text: Column) -> Column:
 
 
 def decimal_plain(text: Column) -> Column:
-    """A decimal text without exponent."""
+    """A decimal text without exponent; most have none and stay as they are."""
     parts = decimal_parts(text)
     scale, digits = parts["scale"], F.regexp_replace(parts["value"], "^-", "")
     sign = F.when(parts["value"].startswith("-"), "-").otherwise("")
@@ -90,7 +91,7 @@ def decimal_plain(text: Column) -> Column:
     wide = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, F.greatest(scale, F.lit(0)) + 1, "0"))
     point = F.length(wide) - scale
     split = F.concat(F.substring(wide, F.lit(1), point), F.lit("."), F.substring(wide, point + 1, F.greatest(scale, F.lit(0))))
-    return F.when(text.isNotNull(), F.concat(sign, F.when(scale <= 0, whole).otherwise(split)))
+    return F.when(F.instr(F.lower(text), "e") > 0, F.concat(sign, F.when(scale <= 0, whole).otherwise(split))).otherwise(text)
 
 
 def varint_long(text: Column) -> Column:
