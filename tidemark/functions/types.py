@@ -84,14 +84,18 @@ def decimal_parts(text: Column) -> Column:
 
 def decimal_plain(text: Column) -> Column:
     """A decimal text without exponent; most have none and stay as they are."""
-    parts = decimal_parts(text)
-    scale, digits = parts["scale"], F.regexp_replace(parts["value"], "^-", "")
-    sign = F.when(parts["value"].startswith("-"), "-").otherwise("")
-    whole = F.when(digits == "0", digits).otherwise(F.concat(digits, F.repeat(F.lit("0"), -scale)))
-    wide = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, F.greatest(scale, F.lit(0)) + 1, "0"))
-    point = F.length(wide) - scale
-    split = F.concat(F.substring(wide, F.lit(1), point), F.lit("."), F.substring(wide, point + 1, F.greatest(scale, F.lit(0))))
-    return F.when(F.instr(F.lower(text), "e") > 0, F.concat(sign, F.when(scale <= 0, whole).otherwise(split))).otherwise(text)
+
+    def plain(parts: Column) -> Column:
+        scale, digits = parts["scale"], F.regexp_replace(parts["value"], "^-", "")
+        sign = F.when(parts["value"].startswith("-"), "-").otherwise("")
+        whole = F.when(digits == "0", digits).otherwise(F.concat(digits, F.repeat(F.lit("0"), -scale)))
+        wide = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, F.greatest(scale, F.lit(0)) + 1, "0"))
+        point = F.length(wide) - scale
+        split = F.concat(F.substring(wide, F.lit(1), point), F.lit("."), F.substring(wide, point + 1, F.greatest(scale, F.lit(0))))
+        return F.concat(sign, F.when(scale <= 0, whole).otherwise(split))
+
+    once = F.get(F.transform(F.array(decimal_parts(text)), plain), F.lit(0))  # the parts are bound once, not written out at each use
+    return F.when(F.instr(F.lower(text), "e") > 0, once).otherwise(text)
 
 
 def varint_long(text: Column) -> Column:
