@@ -8,6 +8,7 @@ import pytest
 
 from helpers import awkward, documents, empty, frame, key, prose
 from tidemark.llm import ngram_join as J
+from tidemark.llm.common import components
 
 
 def grams(t, n=5):
@@ -119,3 +120,60 @@ def test_a_dense_group_of_near_copies(spark):
     rows += [(1000 + i, prose(40, 500 + i), None, None, None) for i in range(1800)]
     got = J.ngram_join(frame(spark, rows), cap=64, block_docs=100).filter("doc_id < 1000").collect()
     assert {(r["class_id"], r["class_size"], r["n_links"]) for r in got} == {(0, 900, 899)} and len(got) == 900
+
+
+def joined_rows(spark, work):
+    """What ``work`` returns, and the rows that all joins made in it."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = store.executionsCount()
+    out = work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    made, runs = 0, store.executionsList()
+    for i in range(before, runs.size()):
+        at = runs.apply(i).executionId()
+        values, nodes = store.executionMetrics(at), store.planGraph(at).allNodes()
+        for node in (nodes.apply(n) for n in range(nodes.size())):
+            if "Join" in node.name():
+                metrics = (node.metrics().apply(m) for m in range(node.metrics().size()))
+                rows = [values.get(m.accumulatorId()) for m in metrics if m.name() == "number of output rows"]
+                made += sum(int(r.get().replace(",", "")) for r in rows if r.isDefined())
+    return out, made
+
+
+def smallest(edges):
+    up = {x: x for e in edges for x in e}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    return {x: top(x) for x in up}
+
+
+def test_components_of_many_shapes(spark):
+    """Paths in order and at random, a star, loops, repeated edges, nothing."""
+    order = np.random.default_rng(2).permutation(100) + 1000
+    edges = [(i, i + 1) for i in range(60)] + [(int(x), int(y)) for x, y in itertools.pairwise(order)] + [(2050, 2000 + i) for i in range(100)]
+    edges += [(3000, 3000), (3001, 3002), (3002, 3001), (3001, 3002)]
+    got = components(spark.createDataFrame(edges, "a long, b long"), "shapes").collect()
+    assert sorted((r["id"], r["label"]) for r in got) == sorted(smallest(edges).items())
+    assert components(spark.createDataFrame([], "a long, b long"), "none").count() == 0
+
+
+def test_components_join_all_edges_in_one_round_only(spark):
+    """A group of near copies as 16 tries link it: forests over the same texts."""
+    rng = np.random.default_rng(4)
+    edges = []
+    for _ in range(16):
+        part = rng.integers(0, 12, 1500)
+        for p in range(12):
+            members = rng.permutation(np.nonzero(part == p)[0])
+            edges += [(int(members[0]), int(m)) for m in members[1:]]
+    labels, made = joined_rows(spark, lambda: components(spark.createDataFrame(edges, "a long, b long"), "group").collect())
+    assert {r["id"]: r["label"] for r in labels} == smallest(edges)
+    assert 0 < made < 3 * len(edges)

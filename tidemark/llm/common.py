@@ -98,21 +98,34 @@ def width(spark: SparkSession) -> int:
 def components(edges: DataFrame, tag: str) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(id, label)``, label the smallest id reached.
 
-    Min-label propagation with pointer jumping; every round is written to the
-    shared folder, and only a changed-or-not flag reaches the driver.
+    A round hooks each id to its smallest neighbour, follows hooks to their end by pointer jumping and
+    puts these ends in place of the ids in all edges.  Loops and repeats go, and an end is smaller than all
+    its neighbours, so at most half of the ids remain: only the first round joins all edges, however
+    many rounds a shape takes.  Each step is written to the shared folder; only flags reach the driver.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{tag}-edges")
-    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")), f"{tag}-labels")
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    left = materialize(edges.select(low, high).distinct(), f"{tag}-edges")
+    labels: DataFrame | None = None
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("jump"))
-        step = (
-            labels.join(near, "id", "left")
-            .join(jump, "label", "left")
-            .select("id", F.least("label", "near", "jump").alias("label"), (F.least("label", "near", "jump") < F.col("label")).alias("moved"))
-        )
-        old, labels = labels, materialize(step, f"{tag}-labels")
-        discard(old)
-        if labels.filter("moved").isEmpty():
-            discard(both)
+        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")), f"{tag}-ends")
+        moved = True
+        while moved:
+            jump = ends.select(F.col("id").alias("label"), F.col("label").alias("jump"))
+            step = ends.join(jump, "label").select("id", F.col("jump").alias("label"), (F.col("jump") < F.col("label")).alias("moved"))
+            old, ends = ends, materialize(step, f"{tag}-ends")
+            discard(old)
+            moved = not ends.filter("moved").isEmpty()
+        if labels is None:
+            labels = ends
+        else:
+            end = ends.select(F.col("id").alias("label"), F.col("label").alias("end"))
+            old, labels = labels, materialize(labels.join(end, "label", "left").select("id", F.coalesce("end", "label").alias("label")), f"{tag}-labels")
+            discard(old)
+        of_a, of_b = (ends.select(F.col("id").alias(c), F.col("label").alias(f"{c}_end")) for c in "ab")
+        kept = left.join(of_a, "a").join(of_b, "b").filter("a_end <> b_end").select(F.col("a_end").alias("a"), F.col("b_end").alias("b"))
+        old, left = left, materialize(kept.select(low, high).distinct(), f"{tag}-edges")
+        discard(old, *([] if ends is labels else [ends]))
+        if left.isEmpty():
+            discard(left)
             return labels.select("id", "label")
